@@ -58,7 +58,8 @@ def train(
         parallelism=parallelism,
         seed=seed,
     )
-    return search.fit(df)
+    # The search caches its folds, so leave out what no fit reads.
+    return search.fit(df.select("features", "label"))
 
 
 def score(model, df: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ def class_summary(df: DataFrame, group: str = TARGET) -> DataFrame:
     for c in df.columns:
         if c == group:
             continue
-        number = lenient_double(df, c) if _is_text(df, c) else F.col(c)
+        numeric = isinstance(df.schema[c].dataType, T.NumericType)
+        number = F.col(c) if numeric else lenient_double(df, c)
         stats += [
             F.sum(number).alias(f"{c}_sum"),
             F.avg(number).alias(f"{c}_avg"),
@@ -150,7 +151,3 @@ def _per_feature(df: DataFrame, columns: list[str], stats) -> DataFrame:
 
 def _pairs(a, b):
     return F.count(F.when(a.isNotNull() & b.isNotNull(), 1))
-
-
-def _is_text(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.StringType)

@@ -452,7 +452,7 @@ ORACLES = {
     "describe": over("cdr", described("cdr", RAW_MEASURES, 6)),
     "describe_lines": over(
         "cdr_lines",
-        described("cdr_lines", ["DP_MOC_COUNT", "DP_MOC_DURATION", "DP_DATA_VOLUME"], 4),
+        described("cdr_lines", ["DP_MOC_COUNT", "DP_MOC_DURATION", "DP_DATA_VOLUME"], 6),
     ),
     "high_watermark": over("processed", 'SELECT max("Date") AS high_watermark FROM processed'),
     "distinct_dates": over(

@@ -344,7 +344,7 @@ def describe(spark, sf):
 @query
 def describe_lines(spark, sf):
     columns = ["DP_MOC_COUNT", "DP_MOC_DURATION", "DP_DATA_VOLUME"]
-    return rounded(profile.describe(inputs.cdr_lines(spark, sf), columns), 4)
+    return rounded(profile.describe(inputs.cdr_lines(spark, sf), columns))
 
 
 @query
