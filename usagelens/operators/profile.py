@@ -9,29 +9,57 @@ from usagelens.operators.ranking import quantiles
 from usagelens.schemas import RAW_TARGET, TARGET
 
 
-def class_summary(df: DataFrame, group: str = TARGET) -> DataFrame:
-    """Seven statistics of every other column per class, in one pass.
-
-    Sum, mean, variance and skewness of text are taken over the texts that are
-    numbers; min and max of text compare as text.
+def class_summary(df: DataFrame, group: str = TARGET, block: int = 6) -> DataFrame:
+    """Sum, mean, min, max, count, variance and skewness of every other column per class.
+
+    Text counts as the number it spells, if any; min and max of text compare as
+    text. Works on ``block`` columns at a time: the statistics of more columns
+    outgrow one compiled aggregate and run several times slower. Text minima cannot
+    use hash aggregation and form a block of their own, so that only text is
+    sorted. Each block reads only its own columns, so ``df`` should be a scan.
     """
     group = resolve(df, group)
-    stats = []
-    for c in df.columns:
-        if c == group:
-            continue
-        numeric = isinstance(df.schema[c].dataType, T.NumericType)
-        number = F.col(c) if numeric else lenient_double(df, c)
-        stats += [
+    numeric = numeric_columns(df, exclude=[group])
+    other = [c for c in df.columns if c != group and c not in numeric]
+
+    def both_ends(c):
+        return [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+
+    def spread(c, number):
+        return [
             F.sum(number).alias(f"{c}_sum"),
             F.avg(number).alias(f"{c}_avg"),
-            F.min(c).alias(f"{c}_min"),
-            F.max(c).alias(f"{c}_max"),
             F.count(c).alias(f"{c}_count"),
             F.variance(number).alias(f"{c}_variance"),
             F.skewness(number).alias(f"{c}_skewness"),
         ]
-    return df.groupBy(group).agg(*stats)
+
+    blocks = []
+    for i in range(0, len(numeric), block):
+        part = numeric[i : i + block]
+        blocks.append((df, [x for c in part for x in spread(c, c) + both_ends(c)]))
+    for i in range(0, len(other), block):
+        part = other[i : i + block]
+        # Numbers in text are read once per row here, not once per statistic.
+        read = df.select(
+            group, *part, *[lenient_double(df, c).alias(f"{c}_number") for c in part]
+        )
+        blocks.append((read, [x for c in part for x in spread(c, f"{c}_number")]))
+    if other:
+        blocks.append((df, [x for c in other for x in both_ends(c)]))
+    if not blocks:
+        return df.select(group).distinct()
+
+    made = None
+    for source, stats in blocks:
+        found = source.groupBy(F.col(group).alias("block_key")).agg(*stats)
+        if made is None:
+            made = found.withColumnRenamed("block_key", group)
+        else:
+            same = F.col(group).eqNullSafe(F.col("block_key"))
+            made = made.join(found, same).drop("block_key")
+    kinds = ("sum", "avg", "min", "max", "count", "variance", "skewness")
+    return made.select(group, *[f"{c}_{k}" for c in df.columns if c != group for k in kinds])
 
 
 def profile(df: DataFrame, user: str = "User", approximate: bool = False) -> DataFrame:

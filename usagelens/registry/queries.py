@@ -295,7 +295,8 @@ def daily_mean_data(spark, sf):
 
 @query
 def class_summary(spark, sf):
-    return rounded(profile.class_summary(inputs.labelled(spark, sf)), 4)
+    rows = materialize(inputs.labelled(spark, sf), "labelled")
+    return rounded(profile.class_summary(rows), 4)
 
 
 @query
