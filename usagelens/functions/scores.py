@@ -32,3 +32,13 @@ def r_squared(truth: Column, guess: Column) -> Column:
     spread = F.var_pop(paired) * F.count(paired)
     flat = F.when(residual == 0, F.lit(1.0)).otherwise(F.lit(0.0))
     return F.when(spread == 0, flat).otherwise(1 - F.try_divide(residual, spread))
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over pairs without NULL, NULL when either side is constant.
+
+    The built-in ``corr`` divides by zero on a constant, which ANSI mode refuses.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    deviations = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), deviations)

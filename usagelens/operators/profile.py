@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from usagelens.functions import lenient_double, numeric_columns, r_squared, resolve
+from usagelens.functions import correlation, lenient_double, numeric_columns, r_squared, resolve
 from usagelens.operators.ranking import quantiles
 from usagelens.schemas import RAW_TARGET, TARGET
 
@@ -111,16 +111,10 @@ def target_correlations(df: DataFrame, target: str = TARGET, nulls: str = "zero"
 
     ``nulls="zero"`` counts a missing value as 0, ``"skip"`` leaves the pair out.
     """
-    target = resolve(df, target)
     columns = numeric_columns(df, exclude=[df.columns[-1]])
-
-    def ready(name):
-        value = F.col(name).cast("double")
-        return F.coalesce(value, F.lit(0.0)) if nulls == "zero" else value
-
-    return _per_feature(
-        df, columns, lambda c: {"correlation": F.corr(ready(target), ready(c))}
-    )
+    filled = 0.0 if nulls == "zero" else None
+    stats = {"correlation": correlation(F.col("x"), F.col("y"))}
+    return _per_pair(df, target, columns, stats, filled)
 
 
 def top_correlated(df: DataFrame, target: str = TARGET, absolute: bool = False) -> DataFrame:
@@ -137,13 +131,9 @@ def r2_vs_target(df: DataFrame, target: str = RAW_TARGET) -> DataFrame:
     Features with at most one such pair are left out.
     """
     target = resolve(df, target)
-    guess = F.col(target).cast("double")
-
-    def stats(c):
-        truth = F.col(c).cast("double")
-        return {"n": _pairs(truth, guess), "r2": r_squared(truth, guess)}
-
-    return _per_feature(df, numeric_columns(df, [target]), stats).where("n > 1")
+    truth, guess = F.col("x"), F.col("y")
+    stats = {"n": _pairs(truth, guess), "r2": r_squared(truth, guess)}
+    return _per_pair(df, target, numeric_columns(df, [target]), stats).where("n > 1")
 
 
 def regression_vs_target(df: DataFrame, target: str = RAW_TARGET) -> DataFrame:
@@ -152,29 +142,35 @@ def regression_vs_target(df: DataFrame, target: str = RAW_TARGET) -> DataFrame:
     Features with at most one complete pair are left out.
     """
     target = resolve(df, target)
-    y = F.col(target).cast("double")
-
-    def stats(c):
-        x = F.col(c).cast("double")
-        return {
-            "n": F.regr_count(y, x),
-            "slope": F.regr_slope(y, x),
-            "intercept": F.regr_intercept(y, x),
-            "r2": F.regr_r2(y, x),
-        }
-
-    return _per_feature(df, numeric_columns(df, [target]), stats).where("n > 1")
-
-
-def _per_feature(df: DataFrame, columns: list[str], stats) -> DataFrame:
-    """One aggregate row turned into a row per feature."""
-    cells = [
-        F.struct(
-            F.lit(c).alias("feature"), *[value.alias(name) for name, value in stats(c).items()]
-        ).alias(c)
-        for c in columns
-    ]
-    return df.agg(*cells).select(F.inline(F.array(*[F.col(c) for c in columns])))
+    x, y = F.col("x"), F.col("y")
+    stats = {
+        "n": F.regr_count(y, x),
+        "slope": F.regr_slope(y, x),
+        "intercept": F.regr_intercept(y, x),
+        "r2": F.regr_r2(y, x),
+    }
+    return _per_pair(df, target, numeric_columns(df, [target]), stats).where("n > 1")
+
+
+def _per_pair(df: DataFrame, target: str, features: list[str], stats: dict, filled=None):
+    """Aggregates of ``x`` (a feature) and ``y`` (the target) per feature.
+
+    Rows become one (feature, x, y) each, so the compiled aggregate stays small
+    however many features there are; partial sums leave one row per feature and
+    task for the shuffle. ``filled`` stands in for NULL in both.
+    """
+
+    def number(c):
+        value = F.col(c).cast("double")
+        return value if filled is None else F.coalesce(value, F.lit(filled))
+
+    pairs = df.select(
+        number(target).alias("y"),
+        F.posexplode(F.array(*[number(c) for c in features])).alias("place", "x"),
+    )
+    names = F.array(*[F.lit(c) for c in features])
+    found = pairs.groupBy("place").agg(*[value.alias(name) for name, value in stats.items()])
+    return found.select(F.get(names, F.col("place")).alias("feature"), *stats)
 
 
 def _pairs(a, b):
