@@ -54,3 +54,22 @@ def test_quantiles_match_numpy(spark, n):
 def test_quantiles_leave_out_empty_columns(spark):
     df = spark.createDataFrame([(1.0, None)], "a double, b double")
     assert [r["column"] for r in quantiles(df, ["a", "b"], {"m": 0.5}).collect()] == ["a"]
+
+
+@pytest.mark.parametrize("sample_rows", [20, 2000])
+def test_quantiles_from_sampled_ranges(spark, sample_rows):
+    """Small samples give narrow or failing ranges; the result must not depend on them."""
+    df = skewed(spark, 20000).select(
+        "g",
+        F.pow(F.lit(1.001), F.col("k")).alias("steep"),
+        F.when(F.col("v") % 500 == 0, F.col("k") / 7).alias("rare"),
+        F.when(F.col("v") < 13000, 5.0).otherwise(F.col("v")).alias("hot"),
+        F.lit(None).cast("double").alias("empty"),
+    )
+    pdf = df.toPandas()
+    shares = {"least": 0.0, "low": 0.25, "mid": 0.5, "high": 0.75, "most": 1.0}
+    got = {r["column"]: r for r in quantiles(df, df.columns, shares, 0, sample_rows).collect()}
+    assert set(got) == {"g", "steep", "rare", "hot"}
+    for c in got:
+        want = np.quantile(pdf[c].dropna().astype(float), list(shares.values()))
+        assert np.allclose([got[c][s] for s in shares], want)
