@@ -248,8 +248,8 @@ def features(view: str, filled_first: bool) -> str:
     made = ['"Date"', '"User"', '"M_Tenure_Churn" AS label']
     for c in [n for n in numeric if n != "M_Tenure_Churn"] + STATS:
         value = last(f'"{c}"')
-        made.append(rnd(value, c) if c in real else f'{value} AS "{c}"')
-    made += [rnd(last(log1p(c)), f"{c}_log") for c in plain]
+        made.append(rnd(value, c, 9) if c in real else f'{value} AS "{c}"')
+    made += [rnd(last(log1p(c)), f"{c}_log", 9) for c in plain]
     base = filled if filled_first else f"SELECT * FROM {view}"
     return over(
         view, f"SELECT {', '.join(made)} FROM stats", base=base, stats=date_stats(STAT_COLUMNS, "base")
@@ -404,7 +404,7 @@ ORACLES = {
     ),
     "daily_mean_data": over(
         "processed",
-        'SELECT "Date", round(avg("M_Data_Sum"), 6) AS "M_Data_Sum_avg" FROM processed GROUP BY 1',
+        'SELECT "Date", round(avg("M_Data_Sum"), 9) AS "M_Data_Sum_avg" FROM processed GROUP BY 1',
     ),
     "class_summary": over(
         "labelled", class_stats(PROCESSED[:-1], 4), source="SELECT * FROM labelled"
@@ -446,7 +446,7 @@ ORACLES = {
     "mean_by_date": over(
         "cdr",
         "SELECT DP_DATE, "
-        + ", ".join(rnd(f"avg({c})", c) for c in RAW_MEASURES)
+        + ", ".join(rnd(f"avg({c})", c, 9) for c in RAW_MEASURES)
         + " FROM cdr WHERE DP_DATE IS NOT NULL GROUP BY 1",
     ),
     "describe": over("cdr", described("cdr", RAW_MEASURES, 6)),
@@ -531,7 +531,7 @@ ORACLES = {
     ),
     "date_window_features": over(
         "processed",
-        f"SELECT {ROWS}, {stat_cols(STAT_COLUMNS)} FROM stats",
+        f"SELECT {ROWS}, {stat_cols(STAT_COLUMNS, 9)} FROM stats",
         stats=date_stats(STAT_COLUMNS, "processed"),
     ),
     "date_window_features_lines": over(

@@ -36,7 +36,11 @@ def query(function):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, as sums in another order differ in the last bits."""
+    """Doubles rounded, as sums in another order differ in the last bits.
+
+    A mean of 128 amounts in cents has nine decimals, so per-date results keep as
+    many: none then lies halfway between two roundings.
+    """
     return df.select(
         *[
             F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f.name
@@ -290,7 +294,7 @@ def user_call_time(spark, sf):
 
 @query
 def daily_mean_data(spark, sf):
-    return rounded(summary.daily_mean_data(inputs.processed(spark, sf)))
+    return rounded(summary.daily_mean_data(inputs.processed(spark, sf)), 9)
 
 
 @query
@@ -334,7 +338,7 @@ def sum_by_date(spark, sf):
 
 @query
 def mean_by_date(spark, sf):
-    return rounded(summary.mean_by_date(inputs.cdr(spark, sf)))
+    return rounded(summary.mean_by_date(inputs.cdr(spark, sf)), 9)
 
 
 @query
@@ -412,7 +416,7 @@ def log_profile(spark, sf):
 
 @query
 def date_window_features(spark, sf):
-    return rounded(features.add_date_stats(inputs.processed(spark, sf)))
+    return rounded(features.add_date_stats(inputs.processed(spark, sf)), 9)
 
 
 @query
@@ -430,12 +434,12 @@ def log_features(spark, sf):
 
 @query
 def feature_table(spark, sf):
-    return rounded(features.build_features(inputs.labelled(spark, sf)))
+    return rounded(features.build_features(inputs.labelled(spark, sf)), 9)
 
 
 @query
 def feature_table_filled_first(spark, sf):
-    return rounded(features.build_features(inputs.labelled(spark, sf), fill="before"))
+    return rounded(features.build_features(inputs.labelled(spark, sf), fill="before"), 9)
 
 
 @query
