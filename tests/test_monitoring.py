@@ -80,6 +80,25 @@ def test_count_chunks_equal_ntile(spark, sf, n):
     assert got == want
 
 
+def test_positions_by_day_equal_positions_in_all_rows(spark):
+    """A third of the rows on one day, some without a day."""
+    df = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, "2024-01-02")
+        .when(F.col("id") % 50 == 1, None)
+        .otherwise(F.concat(F.lit("2024-01-0"), F.col("id") % 7))
+        .alias("d"),
+        ((F.col("id") * 37) % 911).alias("k"),
+    )
+    places = [1, 5, 6, 400, 401, 402, 899, 900]
+    order = sorted((r["d"] is not None, r["d"] or "", r["k"]) for r in df.collect())
+    want = {p: (order[p - 1][1] or None, order[p - 1][2]) for p in places}
+    for days in (100, 2):
+        assert m._rows_by_day(df, ["d", "k"], lambda n: places, days) == want
+    times = df.select(F.col("d").cast("timestamp").alias("d"), "k")
+    got = m._rows_by_day(times, ["d", "k"], lambda n: places)
+    assert {p: k for p, (_, k) in got.items()} == {p: k for p, (_, k) in want.items()}
+
+
 def test_count_chunks_do_not_shuffle_rows(spark, sf):
     df = spark.read.parquet(f"{sf}/events.parquet")
     plan = m.assign_chunks(df, 10, "ts", ("event_id",))._jdf.queryExecution().executedPlan().toString()

@@ -2,11 +2,15 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from usagelens.functions import day_of, f1_score, hard_auc
 from usagelens.operators.ranking import rows_at, sums_before
 from usagelens.storage import materialize
 
+# Days counted on the driver.
+MOST_DAYS = 100_000
+
 METRICS = ["roc_auc", "f1", "accuracy"]
 
 
@@ -43,7 +47,8 @@ def assign_chunks(
 
     Parts differ in size by at most one row, the larger ones first, when ``date``
     and ``tiebreak`` together are unique. The n - 1 rows where a part begins are
-    looked up first; labelling then needs no shuffle.
+    looked up first, which ranks only the days a part begins on; labelling then
+    needs no shuffle.
     """
     if by == "day":
         return df.withColumn("chunk", day_of(df, date))
@@ -55,15 +60,53 @@ def assign_chunks(
             i * size + min(i, larger) + 1 for i in range(1, by) if size or i < larger
         ]
 
-    bounds = sorted(rows_at(df, order, starts).items())
-    here = F.struct(*order)
-    chunk = F.lit(1)
-    for _, values in bounds:
-        first = F.struct(
-            *[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, values)]
-        )
-        chunk = chunk + F.when(here >= first, 1).otherwise(0)
-    return df.withColumn("chunk", chunk)
+    firsts = _rows_by_day(df, order, starts)
+    if not firsts:
+        return df.withColumn("chunk", F.lit(1))
+    reached = [
+        F.when(_at_or_after(df, order, firsts[place]), number)
+        for number, place in enumerate(sorted(firsts), 2)
+    ]
+    return df.withColumn("chunk", F.greatest(F.lit(1), *reached))
+
+
+def _rows_by_day(df: DataFrame, order: list[str], positions, most_days: int = MOST_DAYS) -> dict:
+    """``rows_at`` that ranks only the rows of the days the positions fall on.
+
+    Falls back to ranking all rows when there are more than ``most_days`` days.
+    """
+    day = F.col(order[0])
+    if isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
+        day = day.cast("date")
+    sizes = df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    days = sizes.limit(most_days + 1).collect()
+    if len(days) > most_days:
+        return rows_at(df, order, positions)
+    days = sorted(days, key=lambda r: (r["day"] is not None, r["day"]))
+    moved, chosen, seen, kept = {}, [], 0, 0
+    wanted = positions(sum(r["n"] for r in days))
+    for row in days:
+        here = [p for p in wanted if seen < p <= seen + row["n"]]
+        if here:
+            moved.update({kept + p - seen: p for p in here})
+            chosen.append(row["day"])
+            kept += row["n"]
+        seen += row["n"]
+    named = day.isin([d for d in chosen if d is not None])
+    rows = df.where(named | day.isNull() if None in chosen else named)
+    found = rows_at(rows, order, lambda _: list(moved)) if moved else {}
+    return {moved[place]: values for place, values in found.items()}
+
+
+def _at_or_after(df: DataFrame, order: list[str], values: tuple):
+    """True for rows that sort with or after ``values``; NULL sorts first."""
+    name, value = order[0], values[0]
+    bound = F.lit(value).cast(df.schema[name].dataType)
+    equal = F.col(name).eqNullSafe(bound)
+    later = F.col(name).isNotNull() if value is None else F.coalesce(F.col(name) > bound, F.lit(False))
+    if len(order) == 1:
+        return later | equal
+    return later | (equal & _at_or_after(df, order[1:], values[1:]))
 
 
 def chunk_metrics(
