@@ -85,7 +85,7 @@ def test_positions_by_day_equal_positions_in_all_rows(spark):
     df = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, "2024-01-02")
         .when(F.col("id") % 50 == 1, None)
-        .otherwise(F.concat(F.lit("2024-01-0"), F.col("id") % 7))
+        .otherwise(F.concat(F.lit("2024-01-0"), F.col("id") % 7 + 1))
         .alias("d"),
         ((F.col("id") * 37) % 911).alias("k"),
     )

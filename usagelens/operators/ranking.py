@@ -84,11 +84,11 @@ def rows_at(
     numbered = sliced.where(F.col("slice").isin(sorted({s for s, _ in wanted.values()}))).select(
         "*", F.row_number().over(Window.partitionBy("slice").orderBy(*order)).alias("place")
     )
-    hits = [(F.col("slice") == s) & (F.col("place") == p) for s, p in wanted.values()]
-    anywhere = hits[0]
-    for hit in hits[1:]:
-        anywhere = anywhere | hit
-    found = {(r["slice"], r["place"]): r for r in numbered.where(anywhere).collect()}
+    hits = [
+        F.struct(F.lit(s).alias("slice"), F.lit(p).alias("place")) for s, p in wanted.values()
+    ]
+    kept = numbered.where(F.struct("slice", "place").isin(hits)).collect()
+    found = {(r["slice"], r["place"]): r for r in kept}
     return {
         position: tuple(found[at][c] for c in order) for position, at in wanted.items()
     }
