@@ -480,7 +480,9 @@ def oversample(spark, sf):
     )
     drawn = sampling.oversample(rows).groupBy("label").agg(F.count(F.lit(1)).alias("drawn"))
     ratio = F.col("drawn") / F.col("source_rows")
-    near = F.when(F.col("label") == 1, ratio.between(18, 22)).otherwise(ratio == 1)
+    # Five standard errors of a mean of Poisson(20) draws.
+    reach = 5 * F.sqrt(20 / F.col("source_rows"))
+    near = F.when(F.col("label") == 1, F.abs(ratio - 20) <= reach).otherwise(ratio == 1)
     source = summary.class_counts(rows, "label").withColumnRenamed("count", "source_rows")
     return source.join(drawn, "label").select("label", "source_rows", near.alias("near_factor"))
 
@@ -496,11 +498,13 @@ def random_split(spark, sf):
     rows = materialize(inputs.cdr(spark, sf).select("id"), "ids")
     train, test = sampling.random_split(rows)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    share = F.count_if(F.col("part") == "train") / F.count(F.lit(1))
+    n = F.count(F.lit(1))
+    # Five standard errors of a share of 0.8.
+    near = F.abs(F.count_if(F.col("part") == "train") / n - 0.8) <= 5 * F.sqrt(0.16 / n)
     return both.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("id").alias("n_ids"),
-        share.between(0.75, 0.85).alias("near_share"),
+        near.alias("near_share"),
     )
 
 
