@@ -126,20 +126,17 @@ def chunk_metrics(
     """
     truth, guess = F.col(label).cast("double"), F.col(prediction).cast("double")
 
-    def number_of(condition):
-        return F.count_if(condition)
-
     cells = df.groupBy(F.col(chunk).alias("chunk"), F.col(score).alias("score")).agg(
         F.min(day_of(df, date)).alias("start_date"),
         F.max(day_of(df, date)).alias("end_date"),
         F.count(F.lit(1)).alias("n"),
-        number_of(truth.isNotNull() & guess.isNotNull()).alias("judged"),
-        number_of(truth == guess).alias("correct"),
-        number_of((truth == 1) & (guess == 1)).alias("tp"),
-        number_of((truth == 0) & (guess == 1)).alias("fp"),
-        number_of((truth == 1) & (guess == 0)).alias("fn"),
-        number_of((truth == 1) & F.col(score).isNotNull()).alias("pos"),
-        number_of((truth == 0) & F.col(score).isNotNull()).alias("neg"),
+        F.count_if(truth.isNotNull() & guess.isNotNull()).alias("judged"),
+        F.count_if(truth == guess).alias("correct"),
+        F.count_if((truth == 1) & (guess == 1)).alias("tp"),
+        F.count_if((truth == 0) & (guess == 1)).alias("fp"),
+        F.count_if((truth == 1) & (guess == 0)).alias("fn"),
+        F.count_if((truth == 1) & F.col(score).isNotNull()).alias("pos"),
+        F.count_if((truth == 0) & F.col(score).isNotNull()).alias("neg"),
     )
     placed = sums_before(cells, ["chunk"], ["score"], ["neg"])
     won = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2)

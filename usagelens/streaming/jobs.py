@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.operators.monitoring import assign_chunks, chunk_metrics, thresholds, with_alerts
 from usagelens.operators.summary import as_summary, summary_totals
+from usagelens.schemas import SUMMARY_SCHEMA
 from usagelens.sinks import read_if_present, replace_dates, write_report
 
 
@@ -57,19 +58,10 @@ def daily_totals_stream(stream: DataFrame, column: str, watermark: str) -> DataF
         timed.withWatermark("event_time", watermark)
         .groupBy(F.window("event_time", "1 day").alias("day"))
         .agg(*summary_totals())
-        .select(F.col("day.start").cast("date").alias("Date"), *_total_names())
+        .select(F.col("day.start").cast("date").alias("Date"), *SUMMARY_SCHEMA.fieldNames()[1:])
     )
 
 
-def _total_names() -> list[str]:
-    return [
-        "Total_Outgoing_Calls",
-        "Total_Outgoing_Call_Time",
-        "Total_Data_Purchases",
-        "Total_Data_Volume",
-    ]
-
-
 def stream_daily_summary(
     spark: SparkSession,
     in_dir: str,
