@@ -2,8 +2,8 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry_point
-
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+from usagelens.registry.oracles import ORACLES
+from usagelens.registry.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -21,5 +21,10 @@ def test_same_as_sql(spark, sf, connection, name):
     assert difference(QUERIES[name](spark, sf), connection, ORACLES[name]) is None
 
 
+def test_registry_is_served():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() == 10
