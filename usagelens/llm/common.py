@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 import usagelens
 
@@ -60,10 +62,12 @@ def fresh(df: DataFrame, name: str) -> str:
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` for a function from a batch to named columns; empty batches give no rows."""
 
+    types = to_arrow_schema(StructType.fromDDL(schema))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(make(batch))
+                yield pa.RecordBatch.from_pydict(make(batch), schema=types)
 
     return df.mapInArrow(run, schema)
 
@@ -78,7 +82,11 @@ def byte_spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[starts[0] :], starts - starts[0]
 
 
-def list_column(values: np.ndarray, starts: np.ndarray, kind=None) -> pa.ListArray:
-    return pa.ListArray.from_arrays(
-        pa.array(starts.astype(np.int32), pa.int32()), pa.array(values, kind)
-    )
+def pieces(texts: pa.Array, size: int = 4 << 20) -> Iterator[pa.Array]:
+    """Parts of a column of about ``size`` bytes of text, or one longer text."""
+    _, starts = byte_spans(texts)
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(starts, starts[at] + size, "right")) - 1)
+        yield texts.slice(at, stop - at)
+        at = stop

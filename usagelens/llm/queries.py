@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelens.llm import bpe, exact_dedup, packing
+from usagelens.llm import bpe, exact_dedup, ngram_join, packing, quality, toxicity
 from usagelens.llm.common import WORD_BPE, table
 
 QUERIES = {}
@@ -28,6 +28,23 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), vocab(), with_ids=False)
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.similarity_components(table(spark, sf, "documents"), words=3, percent=90)
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"), keep="largest")
+
+
+@query
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return quality.score_quality(docs, quality.fit(docs, table(spark, sf, "labels")))
