@@ -15,4 +15,50 @@ ORACLES = {
         FROM normal
         WINDOW same AS (PARTITION BY t)
     """,
+    # What the formatted text is read back to is what went in; its length follows from the
+    # marks of a turn (23 characters) and from one more character for each escape.
+    "op9_chat": r"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ),
+        turns AS (
+            SELECT
+                conv_id,
+                role,
+                text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+                23 + length(role) + length(text) + len(regexp_extract_all(
+                    role || chr(10) || text, '\\|<\||</?s>|<</?SYS>>|\[/?INST\]'
+                )) AS chars
+            FROM said
+        )
+        SELECT
+            conv_id,
+            count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(chars)::BIGINT AS formatted_chars
+        FROM turns
+        GROUP BY conv_id
+    """,
+    "op10_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.e, d.e)::BIGINT AS score
+            FROM v AS q JOIN v AS d ON q.vec_id <> d.vec_id
+            WHERE q.vec_id % 100 = 0
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
 }

@@ -2,8 +2,9 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from usagelens.llm import bpe, exact_dedup, ngram_join, packing, quality, toxicity
+from usagelens.llm import bpe, chat, exact_dedup, ngram_join, packing, quality, topk, toxicity
 from usagelens.llm.common import WORD_BPE, table
 
 QUERIES = {}
@@ -48,3 +49,18 @@ def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return quality.score_quality(docs, quality.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    return chat.conversation_digests(rows.unionByName(more))
+
+
+@query
+def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
