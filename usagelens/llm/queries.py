@@ -4,9 +4,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import bpe, chat, exact_dedup, ngram_join, packing, quality, topk, toxicity
+from usagelens.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    token_counts,
+    topk,
+    toxicity,
+)
 from usagelens.llm.common import WORD_BPE, table
 
+# Real data need a key of their own, kept secret.
+DEMO_KEY = b"registry queries"
+
 QUERIES = {}
 
 
@@ -40,11 +54,22 @@ def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similarity_components(table(spark, sf, "documents"), words=3, percent=90)
 
 
+@query
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    vocab = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf, "documents"), vocab)
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"), keep="largest")
 
 
+@query
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf, "documents"), DEMO_KEY)
+
+
 @query
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
