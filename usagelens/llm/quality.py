@@ -128,8 +128,10 @@ def fit(
         weights = train(rows["text"].tolist(), rows["label"].to_numpy(np.float64))
         yield pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()]})
 
-    found = sample.select("label", "text").mapInPandas(learn, "weights binary").first()
-    return np.frombuffer(found["weights"], np.float32).astype(np.float64)
+    found = sample.select("label", "text").mapInPandas(learn, "weights binary").collect()
+    if not found:
+        return train([], np.zeros(0))
+    return np.frombuffer(found[0]["weights"], np.float32).astype(np.float64)
 
 
 def _scored(texts: pa.Array, weights: np.ndarray) -> np.ndarray:

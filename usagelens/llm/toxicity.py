@@ -20,9 +20,9 @@ from usagelens.llm.bpe import Memory
 from usagelens.llm.common import identified, map_batches, ship
 from usagelens.llm.learning import held_out, learning_sample
 
-BUCKETS, DIMENSIONS, PASSAGE = 1 << 16, 10, 3
+BUCKETS, DIMENSIONS, PASSAGE = 1 << 17, 10, 3
 _AROUND = ".,;:!?\"'()[]{}«»“”„…¿¡*#$%&|-"
-LONGEST_WORD = 40
+LONGEST_WORD, BATCH = 40, 32
 
 
 def words(text: str) -> list[str]:
@@ -30,7 +30,7 @@ def words(text: str) -> list[str]:
 
 
 def ngrams(word: str) -> list[int]:
-    """Buckets of a word and of its 3 to 5 character n-grams, with its ends marked.
+    """Buckets of a word and of its 3 to 6 character n-grams, with its ends marked.
 
     Signs around the word are left off. The n-grams of an overlong word are those of
     its first and last characters, and the word as a whole counts in full.
@@ -40,7 +40,7 @@ def ngrams(word: str) -> list[int]:
     if len(marked) > LONGEST_WORD:
         half = LONGEST_WORD // 2
         marked = f"{marked[:half]} {marked[-half:]}"
-    for n in (3, 4, 5):
+    for n in (3, 4, 5, 6):
         found += [crc32(marked[i : i + n].encode()) % BUCKETS for i in range(len(marked) - n + 1)]
     return found
 
@@ -77,10 +77,20 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(value, -30, 30))))
 
 
-def train(texts: Iterable[str], labels, epochs: int = 6, rate: float = 0.5, seed: int = 3) -> Model:
+def train(
+    texts: Iterable[str],
+    labels,
+    epochs: int = 6,
+    least_steps: int = 1000,
+    least_texts: int = 3,
+    rate: float = 1.0,
+    seed: int = 3,
+) -> Model:
     """Embeddings and softmax by AdaGrad on the worst passage of each text.
 
-    Without texts every score is 0.5.
+    N-grams that fewer than ``least_texts`` texts hold are not learned. Few texts are gone
+    through more often, for ``least_steps`` batches in all. Without texts every score
+    is 0.5.
     """
     random = np.random.default_rng(seed)
     embedding = random.uniform(-0.5, 0.5, (BUCKETS, DIMENSIONS)) / DIMENSIONS
@@ -103,17 +113,26 @@ def train(texts: Iterable[str], labels, epochs: int = 6, rate: float = 0.5, seed
     begins = np.cumsum(sizes) - sizes
     grams = np.fromiter((g for b in bags for g in b), np.int64, int(sizes.sum()))
 
+    # N-grams of few texts would just tell these texts apart; they stay without a vector.
+    seen_in = np.zeros(BUCKETS, np.int64)
+    for row in rows:
+        own = {g for w in set(row.tolist()) for g in bags[w]}
+        seen_in[np.fromiter(own, np.int64, len(own))] += 1
+    common = seen_in >= least_texts
+    embedding[~common] = 0
+
     def gather(chosen):
         """N-grams of some words one after another, and where each word's begin."""
         n = sizes[chosen]
         first = np.cumsum(n) - n
         return grams[np.arange(n.sum()) - np.repeat(first - begins[chosen], n)], first
 
+    epochs = max(epochs, -(-least_steps * BATCH // len(rows)))
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         order = random.permutation(len(rows))
-        for at in range(0, len(order), 32):
-            batch = [i for i in order[at : at + 32] if len(rows[i])]
+        for at in range(0, len(order), BATCH):
+            batch = [i for i in order[at : at + BATCH] if len(rows[i])]
             if not batch:
                 continue
             used, places = np.unique(np.concatenate([rows[i] for i in batch]), return_inverse=True)
@@ -145,6 +164,7 @@ def train(texts: Iterable[str], labels, epochs: int = 6, rate: float = 0.5, seed
             change = np.stack(
                 [np.bincount(where, to_gram[:, d], len(touched)) for d in range(DIMENSIONS)], axis=1
             )
+            change[~common[touched]] = 0
             seen_e[touched] += (change**2).mean(1)
             embedding[touched] -= step * change / np.sqrt(seen_e[touched])[:, None]
             seen_w += change_w**2
@@ -171,10 +191,15 @@ def fit(
     def learn(frames):
         rows = pd.concat([*frames] or [pd.DataFrame({"label": [], "text": []})])
         model = train(rows["text"].tolist(), rows["label"].to_numpy())
-        parts = [model.embedding.ravel(), model.weights.ravel(), model.bias]
-        yield pd.DataFrame({"model": [np.concatenate(parts).astype(np.float32).tobytes()]})
+        yield pd.DataFrame({"model": [packed(model)]})
+
+    found = sample.select("label", "text").mapInPandas(learn, "model binary").collect()
+    return bytes(found[0]["model"]) if found else packed(train([], []))
+
 
-    return bytes(sample.select("label", "text").mapInPandas(learn, "model binary").first()["model"])
+def packed(model: Model) -> bytes:
+    parts = [model.embedding.ravel(), model.weights.ravel(), model.bias]
+    return np.concatenate(parts).astype(np.float32).tobytes()
 
 
 @lru_cache(maxsize=2)
