@@ -91,12 +91,45 @@ def test_positions_by_day_equal_positions_in_all_rows(spark):
     )
     places = [1, 5, 6, 400, 401, 402, 899, 900]
     order = sorted((r["d"] is not None, r["d"] or "", r["k"]) for r in df.collect())
-    want = {p: (order[p - 1][1] or None, order[p - 1][2]) for p in places}
-    for days in (100, 2):
-        assert m._rows_by_day(df, ["d", "k"], lambda n: places, days) == want
+    want = [((order[p - 1][1] or None, order[p - 1][2]), 1, 1) for p in places]
+    assert m._keys_by_day(df, ["d", "k"], lambda n: places) == want
     times = df.select(F.col("d").cast("timestamp").alias("d"), "k")
-    got = m._rows_by_day(times, ["d", "k"], lambda n: places)
-    assert {p: k for p, (_, k) in got.items()} == {p: k for p, (_, k) in want.items()}
+    got = m._keys_by_day(times, ["d", "k"], lambda n: places)
+    assert [key[1] for key, _, _ in got] == [key[1] for key, _, _ in want]
+
+
+def sizes(df, n):
+    found = m.assign_chunks(df, n, "d", ("k",))
+    assert found.columns == [*df.columns, "chunk"]
+    rows = [(r.d is not None, r.d or "", r.k, r.chunk) for r in found.collect()]
+    # Chunks follow the order of the keys.
+    ordered = [c for *_, c in sorted(rows)]
+    assert ordered == sorted(ordered)
+    return [ordered.count(c) for c in range(1, n + 1)]
+
+
+def parts(rows, n):
+    return [rows // n + (i < rows % n) for i in range(n)]
+
+
+@pytest.mark.parametrize("rows,n", [(100, 10), (300, 100), (7, 10), (101, 1), (0, 3)])
+def test_equal_rows_are_dealt_evenly(spark, rows, n):
+    df = spark.createDataFrame([("2024-01-01", 5)] * rows, "d string, k int").repartition(7)
+    assert sizes(df, n) == parts(rows, n)
+
+
+def test_chunks_with_copies_and_nulls_are_even(spark):
+    """A third of the rows equal, others copied, some without day or key."""
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, "2024-01-02")
+        .when(F.col("id") % 50 == 1, None)
+        .otherwise(F.concat(F.lit("2024-01-0"), F.col("id") % 7 + 1))
+        .alias("d"),
+        F.when(F.col("id") % 3 == 0, 4).when(F.col("id") % 11 > 0, F.col("id") % 11).alias("k"),
+        F.col("id").alias("place"),
+    ).select("d", F.coalesce("k", F.lit(0)).alias("k"))
+    for n in (2, 10, 97):
+        assert sizes(df, n) == parts(1000, n)
 
 
 def test_count_chunks_do_not_shuffle_rows(spark, sf):

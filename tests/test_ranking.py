@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from usagelens.operators.ranking import quantiles, rows_at, sums_before
+from usagelens.operators.ranking import numbered, quantiles, rows_at, sums_before
 
 
 def skewed(spark, n=3000):
@@ -33,7 +33,23 @@ def test_rows_at(spark):
     df = skewed(spark)
     order = sorted((r.g, r.k) for r in df.collect())
     got = rows_at(df, ["g", "k"], lambda n: [1, 17, n // 2, n, n + 5])
-    assert got == {p: order[p - 1] for p in (1, 17, 1500, 3000)}
+    assert got == {p: (order[p - 1], p - 1, 1) for p in (1, 17, 1500, 3000)}
+
+
+def test_rows_at_counts_copies_once(spark):
+    df = spark.createDataFrame([(None,)] * 3 + [(1,)] * 50 + [(2,)], "k int")
+    got = rows_at(df, ["k"], lambda n: [3, 4, 53, n])
+    assert got == {3: ((None,), 0, 3), 4: ((1,), 3, 50), 53: ((1,), 3, 50), 54: ((2,), 53, 1)}
+
+
+def test_numbered_counts_within_equal_rows(spark):
+    df = spark.createDataFrame([(None,)] * 5 + [(1,)] * 300 + [(2,)], "k int").repartition(6)
+    places = {}
+    for r in numbered(df, ["k"]).collect():
+        places.setdefault(r.k, []).append(r.place)
+    assert {k: sorted(v) for k, v in places.items()} == {
+        None: list(range(1, 6)), 1: list(range(1, 301)), 2: [1],
+    }
 
 
 def test_rows_at_empty(spark):
@@ -56,9 +72,16 @@ def test_quantiles_leave_out_empty_columns(spark):
     assert [r["column"] for r in quantiles(df, ["a", "b"], {"m": 0.5}).collect()] == ["a"]
 
 
-@pytest.mark.parametrize("sample_rows", [20, 2000])
-def test_quantiles_from_sampled_ranges(spark, sample_rows):
-    """Small samples give narrow or failing ranges; the result must not depend on them."""
+def test_quantiles_between_infinite_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(inf,), (inf,), (1.0,), (2.0,)], "v double")
+    got = quantiles(df, ["v"], {"q25": 0.25, "q50": 0.5, "q75": 0.75}).first()
+    assert (got.q25, got.q50, got.q75) == (1.75, inf, inf)
+
+
+@pytest.mark.parametrize("accuracy", [20, 2000])
+def test_quantiles_from_sketched_ranges(spark, accuracy):
+    """Rough sketches give wide or failing ranges; the result must not depend on them."""
     df = skewed(spark, 20000).select(
         "g",
         F.pow(F.lit(1.001), F.col("k")).alias("steep"),
@@ -68,7 +91,7 @@ def test_quantiles_from_sampled_ranges(spark, sample_rows):
     )
     pdf = df.toPandas()
     shares = {"least": 0.0, "low": 0.25, "mid": 0.5, "high": 0.75, "most": 1.0}
-    got = {r["column"]: r for r in quantiles(df, df.columns, shares, 0, sample_rows).collect()}
+    got = {r["column"]: r for r in quantiles(df, df.columns, shares, accuracy).collect()}
     assert set(got) == {"g", "steep", "rare", "hot"}
     for c in got:
         want = np.quantile(pdf[c].dropna().astype(float), list(shares.values()))

@@ -5,12 +5,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens.functions import day_of, f1_score, hard_auc
-from usagelens.operators.ranking import rows_at, sums_before
+from usagelens.operators.ranking import numbered, rows_at, sums_before
 from usagelens.storage import materialize
 
-# Days counted on the driver.
-MOST_DAYS = 100_000
-
 METRICS = ["roc_auc", "f1", "accuracy"]
 
 
@@ -45,68 +42,103 @@ def assign_chunks(
 ) -> DataFrame:
     """Adds ``chunk``: the calendar day, or 1..n for ``by=n`` near-equal parts in time order.
 
-    Parts differ in size by at most one row, the larger ones first, when ``date``
-    and ``tiebreak`` together are unique. The n - 1 rows where a part begins are
-    looked up first, which ranks only the days a part begins on; labelling then
-    needs no shuffle.
+    Parts differ in size by at most one row, the larger ones first. The at most n - 1
+    keys a part ends on are looked up first, which ranks only the days they fall on. Rows
+    are then labelled without a shuffle, but for rows equal to a key in whose midst a part
+    ends: they are numbered and dealt over the parts, and as they are equal in ``date`` and
+    ``tiebreak`` it does not matter which goes where.
     """
     if by == "day":
         return df.withColumn("chunk", day_of(df, date))
     order = [date, *tiebreak]
 
-    def starts(rows):
+    def ends(rows):
         size, larger = divmod(rows, by)
-        return [
-            i * size + min(i, larger) + 1 for i in range(1, by) if size or i < larger
-        ]
+        return sorted({i * size + min(i, larger) for i in range(1, by)} - {0, rows})
 
-    firsts = _rows_by_day(df, order, starts)
-    if not firsts:
+    found = _keys_by_day(df, order, ends)
+    if not found:
         return df.withColumn("chunk", F.lit(1))
-    reached = [
-        F.when(_at_or_after(df, order, firsts[place]), number)
-        for number, place in enumerate(sorted(firsts), 2)
-    ]
-    return df.withColumn("chunk", F.greatest(F.lit(1), *reached))
-
-
-def _rows_by_day(df: DataFrame, order: list[str], positions, most_days: int = MOST_DAYS) -> dict:
-    """``rows_at`` that ranks only the rows of the days the positions fall on.
-
-    Falls back to ranking all rows when there are more than ``most_days`` days.
+    keys = list(dict.fromkeys(key for key, _, _ in found))
+    ends_at = {key: [inside for k, inside, _ in found if k == key] for key in keys}
+    sizes = {key: size for key, _, size in found}
+    # Parts that end on an earlier key, by place in the sorted keys.
+    ended, so_far = [0], 0
+    for key in keys:
+        so_far += len(ends_at[key])
+        ended.append(so_far)
+    label = _place(df, order, keys, 0, len(keys), ended)
+    cut = [key for key in keys if min(ends_at[key]) < sizes[key]]
+    if not cut:
+        return df.withColumn("chunk", label + 1)
+    is_cut = F.lit(False)
+    for key in cut:
+        is_cut = is_cut | _equal(df, order, key)
+    passed = F.lit(0)
+    for key in cut:
+        for inside in ends_at[key]:
+            passed = passed + F.when(_equal(df, order, key) & (F.col("place") > inside), 1).otherwise(0)
+    whole = df.where(~is_cut).withColumn("chunk", label + 1)
+    dealt = numbered(df.where(is_cut), order).withColumn("chunk", label + 1 + passed).drop("place")
+    return whole.unionByName(dealt)
+
+
+def _keys_by_day(df: DataFrame, order: list[str], positions) -> list[tuple[tuple, int, int]]:
+    """Per position, sorted, the key there, which of the rows equal to it stands there, and how many are.
+
+    Ranks only the rows of the days the positions fall on. Days are counted in a frame;
+    the driver gets those with a position.
     """
     day = F.col(order[0])
     if isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
         day = day.cast("date")
-    sizes = df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    days = sizes.limit(most_days + 1).collect()
-    if len(days) > most_days:
-        return rows_at(df, order, positions)
-    days = sorted(days, key=lambda r: (r["day"] is not None, r["day"]))
-    moved, chosen, seen, kept = {}, [], 0, 0
-    wanted = positions(sum(r["n"] for r in days))
-    for row in days:
-        here = [p for p in wanted if seen < p <= seen + row["n"]]
-        if here:
-            moved.update({kept + p - seen: p for p in here})
-            chosen.append(row["day"])
-            kept += row["n"]
-        seen += row["n"]
-    named = day.isin([d for d in chosen if d is not None])
-    rows = df.where(named | day.isNull() if None in chosen else named)
-    found = rows_at(rows, order, lambda _: list(moved)) if moved else {}
-    return {moved[place]: values for place, values in found.items()}
-
-
-def _at_or_after(df: DataFrame, order: list[str], values: tuple):
-    """True for rows that sort with or after ``values``; NULL sorts first."""
-    name, value = order[0], values[0]
-    bound = F.lit(value).cast(df.schema[name].dataType)
-    equal = F.col(name).eqNullSafe(bound)
-    later = F.col(name).isNotNull() if value is None else F.coalesce(F.col(name) > bound, F.lit(False))
+    days = rows_at(df.select(day.alias("day")), ["day"], positions)
+    if not days:
+        return []
+    chosen = {values[0]: (before, n) for values, before, n in days.values()}
+    kept, moved = 0, {}
+    for value in sorted(chosen, key=lambda d: (d is not None, d)):
+        before, n = chosen[value]
+        moved.update({p: kept + p - before for p, (v, _, _) in days.items() if v[0] == value})
+        kept += n
+    inside = day.isin([d for d in chosen if d is not None])
+    rows = df.where(inside | day.isNull() if None in chosen else inside)
+    found = rows_at(rows, order, lambda _: list(moved.values()))
+    return [
+        (found[moved[p]][0], moved[p] - found[moved[p]][1], found[moved[p]][2]) for p in sorted(moved)
+    ]
+
+
+def _place(df: DataFrame, order: list[str], keys: list[tuple], low: int, high: int, value: list[int]):
+    """``value`` at the number of sorted ``keys`` a row sorts after, by halving the keys."""
+    if low == high:
+        return F.lit(value[low])
+    middle = (low + high) // 2
+    return F.when(
+        _after(df, order, keys[middle]), _place(df, order, keys, middle + 1, high, value)
+    ).otherwise(_place(df, order, keys, low, middle, value))
+
+
+def _bound(df: DataFrame, name: str, value):
+    return F.lit(value).cast(df.schema[name].dataType)
+
+
+def _equal(df: DataFrame, order: list[str], key: tuple):
+    same = F.lit(True)
+    for name, value in zip(order, key):
+        same = same & F.col(name).eqNullSafe(_bound(df, name, value))
+    return same
+
+
+def _after(df: DataFrame, order: list[str], key: tuple):
+    """True for rows that sort after ``key``; NULL sorts first."""
+    name, value = order[0], key[0]
+    later = F.col(name).isNotNull()
+    if value is not None:
+        later = F.coalesce(F.col(name) > _bound(df, name, value), F.lit(False))
     if len(order) == 1:
-        return later | equal
-    return later | (equal & _at_or_after(df, order[1:], values[1:]))
+        return later
+    return later | (F.col(name).eqNullSafe(_bound(df, name, value)) & _after(df, order[1:], key[1:]))
 
 
 def chunk_metrics(

@@ -6,16 +6,15 @@ over many tasks; totals of the slices then carry from one slice to the next.
 """
 
 from collections.abc import Callable
-from math import ceil, floor, inf, sqrt
+from math import ceil, floor, inf
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.storage import materialize
 
-# Rows whose quantiles one aggregate may hold, and the most rows sampled beyond that.
-FEW_ROWS = 100_000
-SAMPLE_ROWS = 200_000
+# Approximate quantiles are wrong by at most one row in this many.
+ACCURACY = 10_000
 
 
 def range_slices(df: DataFrame, order: list[str]) -> DataFrame:
@@ -35,7 +34,7 @@ def sums_before(
     """Per row, the sums of ``values`` over the rows of its group that sort before it.
 
     ``by`` and ``order`` together must be unique. Adds ``<value>_before`` for each
-    of ``values``. NULL in ``by`` forms a group of its own.
+    of ``values``. NULL in ``by`` forms a group of its own; without ``by`` there is one group.
     """
     sliced = range_slices(df, by + order)
     # At most one row per slice and one more per group.
@@ -63,59 +62,62 @@ def sums_before(
 
 def rows_at(
     df: DataFrame, order: list[str], positions: Callable[[int], list[int]]
-) -> dict[int, tuple]:
-    """The ``order`` values found at some 1-based positions of the sorted frame.
+) -> dict[int, tuple[tuple, int, int]]:
+    """What stands at some 1-based positions of the sorted frame.
 
-    ``positions`` names them given the number of rows. The driver gets one count
-    per slice and one row per position. Only slices that hold a position are
-    sorted.
+    Per position the ``order`` values, the number of rows that sort before them, and the
+    number of rows equal in them. ``positions`` names the positions given the number of
+    rows. Equal rows are counted first, map-side, so many copies are one row of
+    the ranking; the driver gets one row per position.
     """
-    sliced = range_slices(df.select(*order), order)
-    sizes = sliced.groupBy("slice").count().orderBy("slice").collect()
-    places = positions(sum(row["count"] for row in sizes))
-    wanted, seen = {}, 0
-    for row in sizes:
-        for position in places:
-            if seen < position <= seen + row["count"]:
-                wanted[position] = (row["slice"], position - seen)
-        seen += row["count"]
-    if not wanted:
+    cells = materialize(df.groupBy(*order).agg(F.count(F.lit(1)).alias("n")), "cells")
+    places = positions(cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    if not places:
         return {}
-    numbered = sliced.where(F.col("slice").isin(sorted({s for s, _ in wanted.values()}))).select(
-        "*", F.row_number().over(Window.partitionBy("slice").orderBy(*order)).alias("place")
+    placed = sums_before(cells, [], order, ["n"])
+    wanted = df.sparkSession.createDataFrame([(p,) for p in places], "place long")
+    here = (F.col("n_before") < F.col("place")) & (F.col("place") <= F.col("n_before") + F.col("n"))
+    found = placed.join(F.broadcast(wanted), here).collect()
+    return {r["place"]: (tuple(r[c] for c in order), r["n_before"], r["n"]) for r in found}
+
+
+def numbered(df: DataFrame, by: list[str]) -> DataFrame:
+    """Adds ``place``, 1 to n among the rows equal in ``by``, in no particular order.
+
+    Rows are numbered within the partitions they are read in, which are written out, and
+    totals carry from one to the next; so many equal rows do not meet in one task.
+    """
+    written = materialize(
+        df.withColumn("slice", F.spark_partition_id()).withColumn(
+            "row", F.monotonically_increasing_id()
+        ),
+        "numbered",
     )
-    hits = [
-        F.struct(F.lit(s).alias("slice"), F.lit(p).alias("place")) for s, p in wanted.values()
-    ]
-    kept = numbered.where(F.struct("slice", "place").isin(hits)).collect()
-    found = {(r["slice"], r["place"]): r for r in kept}
-    return {
-        position: tuple(found[at][c] for c in order) for position, at in wanted.items()
-    }
+    per_slice = written.groupBy(*by, "slice").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_slice.select(
+        *[F.col(c).alias(f"carry_{c}") for c in [*by, "slice"]],
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("carry"),
+    )
+    local = written.withColumn(
+        "local", F.row_number().over(Window.partitionBy(*by, "slice").orderBy("row"))
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"carry_{c}")) for c in [*by, "slice"]]
+    return local.join(carry, same).select(*df.columns, (F.col("local") + F.col("carry")).alias("place"))
 
 
 def quantiles(
-    df: DataFrame,
-    columns: list[str],
-    shares: dict[str, float],
-    few_rows: int = FEW_ROWS,
-    sample_rows: int = SAMPLE_ROWS,
+    df: DataFrame, columns: list[str], shares: dict[str, float], accuracy: int = ACCURACY
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per column that has values.
 
-    ``shares`` maps output names to shares in [0, 1]; NULLs are left out. Up to
-    ``few_rows`` rows go through one built-in aggregate, which holds every distinct
-    value. Beyond that a sample shows between which two values each
-    quantile must lie. Counting the values below and between them proves it, and
-    only values between are then grouped and ranked. A column whose proof fails is
-    ranked as a whole.
+    ``shares`` maps output names to shares in [0, 1]; NULLs are left out. Approximate
+    quantiles, which merge map-side, show between which two values each quantile must lie.
+    Counting the values below and between them proves it, and only values between are
+    then grouped and ranked. A column whose proof fails is ranked as a whole.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    total = values.count()
-    if total <= few_rows:
-        return _few_quantiles(values, columns, shares)
-    sample = materialize(values.sample(min(sample_rows / total, 0.1), 42), "sample")
-    ranges = _sampled_ranges(sample, columns, list(shares.values()))
+    ranges = _sketched_ranges(values, columns, list(shares.values()), accuracy)
     counts = _range_counts(values, ranges)
     wanted = {c: _wanted_places(counts[c][0], shares) for c in columns}
     for c in columns:
@@ -164,7 +166,8 @@ def quantiles(
             F.max(F.when(F.col("name") == f"{name}_{side}", F.col(source)))
             for side, source in (("low", "value"), ("high", "value"), ("high", "weight"))
         )
-        return first + (second - first) * weight
+        # Two infinite neighbours have no difference.
+        return F.when(first == second, first).otherwise(first + (second - first) * weight)
 
     found = hits.groupBy("column").agg(*[mixed(name).alias(name) for name in shares])
     names = F.array(*[F.lit(c) for c in columns])
@@ -180,47 +183,28 @@ def _wanted_places(n: int, shares: dict[str, float]) -> dict[str, tuple[int, int
     return places
 
 
-def _few_quantiles(values, columns, shares):
-    found = [
-        F.struct(
-            F.lit(c).alias("column"),
-            *[
-                F.get(F.percentile(c, list(shares.values())), F.lit(i)).alias(name)
-                for i, name in enumerate(shares)
-            ],
-        )
-        for c in columns
-    ]
-    rows = values.agg(F.array(*found).alias("rows")).select(F.inline("rows"))
-    return rows.where(F.coalesce(*shares).isNotNull())
-
-
-def _sampled_ranges(sample, columns, shares):
+def _sketched_ranges(values, columns, shares, accuracy):
     """Per column the disjoint value ranges that should hold the quantiles.
 
-    Ranges reach five standard errors of a sampled share to both sides. None
-    stands for an open end; a column without sampled values gets one open range.
+    Ranges reach three times the error of an approximate quantile to both sides. None
+    stands for an open end.
     """
-    ranges = {c: [(None, None)] for c in columns}
-    sizes = sample.agg(*[F.count(c).alias(c) for c in columns]).first()
-    margins = {c: 2.5 / sqrt(sizes[c]) for c in columns if sizes[c]}
-    if not margins:
-        return ranges
-    found = sample.agg(
-        *[
-            F.percentile(
-                c, [min(max(q + side * m, 0.0), 1.0) for q in shares for side in (-1, 1)]
-            ).alias(c)
-            for c, m in margins.items()
-        ]
+    margin = 3 / accuracy
+    ends = [min(max(q + side * margin, 0.0), 1.0) for q in shares for side in (-1, 1)]
+    found = values.agg(
+        *[F.percentile_approx(c, ends, accuracy).alias(c) for c in columns]
     ).first()
-    for c, m in margins.items():
-        ends = []
+    ranges = {}
+    for c in columns:
+        if found[c] is None:
+            ranges[c] = [(None, None)]
+            continue
+        own = []
         for i, q in enumerate(shares):
-            low = found[c][2 * i] if q - m > 0 else None
-            high = found[c][2 * i + 1] if q + m < 1 else None
-            ends.append((low, high))
-        ranges[c] = _merged(ends)
+            low = found[c][2 * i] if q - margin > 0 else None
+            high = found[c][2 * i + 1] if q + margin < 1 else None
+            own.append((low, high))
+        ranges[c] = _merged(own)
     return ranges
 
 
