@@ -113,8 +113,9 @@ def usage(spark, rows):
     )
 
 
-def test_late_records(spark):
-    """Records of an open day still count; those of a day closed by the watermark do not."""
+@pytest.mark.parametrize("watermark,first", [(None, 111), ("10 minutes", 11)])
+def test_late_records(spark, watermark, first):
+    """All records count; with a watermark those of a day closed by it do not."""
     folder, out, state = stream_dirs(spark)
     arrivals = [
         [("2024-01-01 23:50:00", 1), ("2024-01-02 00:05:00", 1)],
@@ -125,12 +126,29 @@ def test_late_records(spark):
     for rows in arrivals:
         batch = usage(spark, rows)
         batch.coalesce(1).write.mode("append").parquet(folder)
-        stream_daily_summary(spark, folder, out, state, batch.schema, "DP_TS").awaitTermination()
+        stream_daily_summary(
+            spark, folder, out, state, batch.schema, "DP_TS", watermark
+        ).awaitTermination()
     got = {
         str(r["Date"]): r["Total_Outgoing_Calls"]
         for r in sinks.read_if_present(spark, out, SUMMARY_SCHEMA).collect()
     }
-    assert got == {"2024-01-01": 11, "2024-01-02": 3}
+    assert got == {"2024-01-01": first, "2024-01-02": 3}
+
+
+def test_prepare_answers_for_its_own_run(spark, sf):
+    ranges = plans.DateRanges("2024-01-02", "2024-01-10", "2024-01-02", "2024-01-10")
+    rows = inputs.cdr(spark, sf)
+    target = scratch_path(spark, "processed")
+    first = plans.prepare(spark, ranges, rows, target).count()
+    assert first > 0
+    assert plans.prepare(spark, ranges, rows.limit(0), target).isEmpty()
+    with pytest.raises(ValueError):
+        plans.run(spark, ranges, rows.limit(0), target)
+    left = rows.where("DP_DATE <> date'2024-01-05'")
+    again = plans.prepare(spark, ranges, left, target)
+    assert again.where("Date = '2024-01-05'").isEmpty()
+    assert spark.read.parquet(target).count() == again.count() < first
 
 
 def test_monitoring_follows_new_rows_of_an_old_day(spark, sf):

@@ -133,11 +133,28 @@ def test_jdbc_reads_one_partition_per_day():
     ]
 
 
+def test_jdbc_splits_days_and_whole_tables():
+    source = sources.JdbcSource("url", "t", split="id", parts=3, delay=0)
+    parts = ["(ABS(id % 3) = 0 OR id IS NULL)", "ABS(id % 3) = 1", "ABS(id % 3) = 2"]
+    day = "DP_DATE >= '2024-02-28' AND DP_DATE < '2024-02-29'"
+    assert source.day_predicates("2024-02-28", "2024-02-28") == [f"{day} AND {p}" for p in parts]
+    session = FakeSession(0)
+    source.read(session)
+    assert session.calls[0][2] == parts
+
+
+def test_jdbc_raises_other_errors_at_once():
+    session = FakeSession(1, RuntimeError("no such table"))
+    with pytest.raises(RuntimeError):
+        sources.JdbcSource("url", "t", retries=3, delay=0).read(session)
+    assert len(session.calls) == 1
+
+
 class FakeSession:
     """Stands for a session whose database answers only after some failures."""
 
-    def __init__(self, failures):
-        self.failures, self.calls = failures, []
+    def __init__(self, failures, error=OSError("refused")):
+        self.failures, self.error, self.calls = failures, error, []
 
     @property
     def read(self):
@@ -146,7 +163,7 @@ class FakeSession:
     def jdbc(self, url, table, predicates=None, properties=None):
         self.calls.append((url, table, predicates, properties))
         if len(self.calls) <= self.failures:
-            raise OSError("refused")
+            raise self.error
         return "frame"
 
 
@@ -165,3 +182,11 @@ def test_jdbc_retries():
 def test_json_records(spark):
     df = spark.createDataFrame([(1, None, "x")], "a int, b double, c string")
     assert sinks.to_json_records(df).first()[0] == '{"a":1,"b":null,"c":"x"}'
+
+
+def test_seed_rows_move_no_rows(spark):
+    rows = spark.range(0, 1000, 1, 7).select("id", F.lit("2024-01-01").alias("DP_DATE"))
+    for n in (0, 1, 143, 500, 1000, 5000):
+        found = sources.seed_rows(rows, n)
+        assert found.count() == min(n, 1000) and found.columns == rows.columns
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()

@@ -16,11 +16,22 @@ def auc_hard(df: DataFrame, label: str = "label", prediction: str = "prediction"
     return df.agg(hard_auc(F.col(label), F.col(prediction)).alias("auc_hard"))
 
 
+def label_range(label: str = "label"):
+    """Aggregates that tell how many labels there are; ranges of parts can be put together."""
+    return F.min(label).alias("label_low"), F.max(label).alias("label_high")
+
+
+def two_classes():
+    """Whether a label range holds at least two labels."""
+    return F.coalesce(F.col("label_low") != F.col("label_high"), F.lit(False))
+
+
 def has_both_classes(df: DataFrame, label: str = "label") -> DataFrame:
-    """One row telling whether at least two distinct labels occur."""
-    return df.agg(
-        F.coalesce(F.min(label) != F.max(label), F.lit(False)).alias("both_classes")
-    )
+    """One row telling whether at least two distinct labels occur.
+
+    A missing label is no class of its own: with one class and NULL no metric is defined.
+    """
+    return df.agg(*label_range(label)).select(two_classes().alias("both_classes"))
 
 
 def new_since(df: DataFrame, last=None, column: str = "Date") -> DataFrame:

@@ -1,19 +1,30 @@
 """Row samples, class balancing and train/test splits."""
 
+from math import sqrt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.storage import materialize
+
 
 def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement; an error when there are fewer.
 
-    Keeps the ``n`` smallest of one random number per row, so each task hands on
-    at most ``n`` rows and nothing is sorted as a whole.
+    Rows whose random number is below a share that holds ``n`` of them all but surely are
+    written, and the ``n`` smallest kept; so about ``n`` rows move in all, however many
+    tasks read the table. Should fewer be below, the share grows. Runs at once.
     """
-    found = df.limit(n).count()
-    if found < n:
-        raise ValueError(f"cannot take {n} rows from {found}")
-    return df.withColumn("draw", F.rand(seed)).orderBy("draw").limit(n).drop("draw")
+    total = df.count()
+    if total < n:
+        raise ValueError(f"cannot take {n} rows from {total}")
+    draw = next(name for name in ("draw", "draw_", "draw__") if name not in df.columns)
+    share = (n + 5 * sqrt(n) + 10) / max(1, total)
+    while True:
+        drawn = materialize(df.withColumn(draw, F.rand(seed)).where(F.col(draw) < share), "drawn")
+        if drawn.count() >= n:
+            return drawn.orderBy(draw).limit(n).drop(draw)
+        share *= 2
 
 
 def oversample(df: DataFrame, label: str = "label", factor: float = 20.0, seed: int = 42):

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from usagelens.operators import distribution, features, model, monitoring, nulls, profile, summary
 from usagelens.operators.transform import transform_cdr
 from usagelens.plans.config import DateRanges
-from usagelens.schemas import PROCESSED_SCHEMA, RAW_TARGET, TARGET
-from usagelens.sinks import append_table, read_if_present, replace_dates, write_report, write_snapshot
+from usagelens.schemas import RAW_TARGET, TARGET
+from usagelens.sinks import append_table, clear_dates, replace_dates, write_report, write_snapshot
 from usagelens.sources import scan_cdr, scan_predictions, scan_processed, scan_string_range
 from usagelens.storage import materialize
 
@@ -22,16 +22,18 @@ def prepare(
     snapshots: str | None = None,
     at: datetime | None = None,
 ) -> DataFrame:
-    """Scan raw records, transform them, and replace their dates in the processed table.
+    """Scan raw records, transform them, and replace the range's dates in the processed table.
 
-    With ``snapshots`` also writes a snapshot folder, from the table just written
-    and not from the source again. Returns the rows of the prepared range.
+    The range in the table is then what this run prepared: dates of the range without
+    records are cleared. With ``snapshots`` also writes a snapshot folder. Returns
+    the rows of this run, from a written copy; none leave the table as it was.
     """
-    replace_dates(transform_cdr(scan_cdr(spark, source, ranges.start, ranges.end)), table)
-    written = read_if_present(spark, table, PROCESSED_SCHEMA)
-    if written is None:
-        return spark.createDataFrame([], PROCESSED_SCHEMA)
-    prepared = scan_processed(spark, written, ranges.start, ranges.end)
+    rows = transform_cdr(scan_cdr(spark, source, ranges.start, ranges.end))
+    prepared = materialize(rows, "prepared")
+    if prepared.isEmpty():
+        return prepared
+    replace_dates(prepared, table)
+    clear_dates(spark, table, ranges.start, ranges.end, kept=prepared.select("Date"))
     if snapshots:
         write_snapshot(prepared, snapshots, at or datetime.now())
     return prepared

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from usagelens.operators.transform import transform_cdr
 
-# Later labels are cut off by the end of the events.
-LABEL_END = "2024-01-25"
-
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -82,8 +79,13 @@ def processed(spark: SparkSession, sf: str) -> DataFrame:
     return transform_cdr(cdr(spark, sf))
 
 
+def before_last_day(df: DataFrame, column: str) -> DataFrame:
+    """All days but the last: the label looks one day ahead, and there is no day after it."""
+    return df.where(F.col(column) < df.agg(F.max(column)).scalar())
+
+
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return processed(spark, sf).where(F.col("Date") <= LABEL_END)
+    return before_last_day(processed(spark, sf), "Date")
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:

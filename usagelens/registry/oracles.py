@@ -1,8 +1,9 @@
 """The same results as SQL over the given tables, by query name."""
 
 from usagelens.schemas import RAW_MEASURES, STAT_COLUMNS
+from usagelens.sources.files import MISSING_TEXTS
 
-START, END, LABEL_END = "2024-01-08", "2024-01-17", "2024-01-25"
+START, END = "2024-01-08", "2024-01-17"
 
 VIEWS = {
     "cdr": """
@@ -28,7 +29,7 @@ VIEWS = {
                DP_MTC_COUNT AS "M_In_Call_Count", DP_MTC_DURATION AS "M_In_Call_Time",
                PSEUDO_CHURNED AS "M_Tenure_Churn"
         FROM cdr""",
-    "labelled": f"""SELECT * FROM processed WHERE "Date" <= '{LABEL_END}'""",
+    "labelled": """SELECT * FROM processed WHERE "Date" < (SELECT max("Date") FROM processed)""",
     "predictions": """
         SELECT "Date", "User", label, CASE WHEN p >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
                1 - p AS probability_0, p AS probability_1
@@ -287,7 +288,11 @@ METRIC_COLS = (
 )
 
 
-def report(judged: str, reference: str) -> str:
+BY_COUNT = """SELECT CAST(ntile(10) OVER (ORDER BY "Date", probability_1, label, prediction) AS VARCHAR)
+            AS chunk, CAST("Date" AS DATE) AS day, label, prediction, probability_1 AS score FROM predictions"""
+
+
+def report(judged: str, reference: str, chunks: str = BY_DAY) -> str:
     """Metrics of ``judged`` with bounds from ``reference``."""
     names = ["roc_auc", "f1", "accuracy"]
     limits = ", ".join(
@@ -303,7 +308,7 @@ def report(judged: str, reference: str) -> str:
     return over(
         "predictions",
         f"SELECT {METRIC_COLS}, {shown} FROM judged, (SELECT {limits} FROM reference)",
-        by_day=BY_DAY,
+        by_day=chunks,
         measured=metrics("by_day"),
         judged=f"SELECT * FROM measured {judged}",
         reference=f"SELECT * FROM measured {reference}",
@@ -344,7 +349,17 @@ ORACLES = {
     "csv_load_typed": over("cdr", f"SELECT {NUMBERS} FROM cdr"),
     "csv_gz_load": over("cdr", f"SELECT {NUMBERS} FROM cdr"),
     "csv_surrogate_ids": over("cdr", "SELECT count(*) AS n_rows, count(*) AS n_ids FROM cdr"),
-    "seed_scan": over("cdr", "SELECT least(2000, count(*)) AS n_rows FROM cdr"),
+    "csv_quoted_roundtrip": over(
+        "cdr",
+        f"""SELECT CAST(id AS VARCHAR) AS id, CASE id % {5 + len(MISSING_TEXTS)} WHEN 0 THEN 'x "y" z'
+            WHEN 1 THEN 'a,b' WHEN 2 THEN 'line' || chr(10) || 'break' WHEN 3 THEN '"' WHEN 4 THEN 'plain'
+            END AS note FROM cdr""",
+    ),
+    "seed_scan": over(
+        "cdr",
+        """SELECT least(2000, count(*)) AS n_rows, least(2000, count(*)) AS n_ids,
+           least(2000, count(*)) AS n_known FROM cdr""",
+    ),
     "append_roundtrip": over(
         "processed", f"SELECT {ROWS} FROM processed UNION ALL SELECT {ROWS} FROM processed"
     ),
@@ -471,7 +486,7 @@ ORACLES = {
     "r2_vs_target": over(
         "cdr",
         union(r2("source", f"{c}::DOUBLE", "PSEUDO_CHURNED", c) for c in RAW_FEATURES),
-        source=f"SELECT * FROM cdr WHERE DP_DATE <= DATE '{LABEL_END}'",
+        source="SELECT * FROM cdr WHERE DP_DATE < (SELECT max(DP_DATE) FROM cdr)",
     ),
     "regression_vs_target": over(
         "cdr",
@@ -482,7 +497,7 @@ ORACLES = {
                 round(regr_r2(PSEUDO_CHURNED, {c}), 6) AS r2 FROM source"""
             for c in RAW_FEATURES
         ),
-        source=f"SELECT * FROM cdr WHERE DP_DATE <= DATE '{LABEL_END}'",
+        source="SELECT * FROM cdr WHERE DP_DATE < (SELECT max(DP_DATE) FROM cdr)",
     ),
     "raw_exploration": over(
         "cdr",
@@ -529,6 +544,11 @@ ORACLES = {
            round(stddev_samp(ln(1 + "M_Data_Sum")), 6) AS std
            FROM processed WHERE "M_Data_Sum" > 0""",
     ),
+    "date_window_features_many_days": over(
+        "processed",
+        f"SELECT {ROWS}, {stat_cols(STAT_COLUMNS, 9)} FROM stats",
+        stats=date_stats(STAT_COLUMNS, "processed"),
+    ),
     "date_window_features": over(
         "processed",
         f"SELECT {ROWS}, {stat_cols(STAT_COLUMNS, 9)} FROM stats",
@@ -571,7 +591,22 @@ ORACLES = {
            round(DP_MOC_DURATION, 6) AS DP_MOC_DURATION
            FROM cdr ORDER BY cdr.DP_TS DESC, id DESC LIMIT 100""",
     ),
-    "sample_n": over("cdr", "SELECT least(200, count(*)) AS n_rows, least(200, count(*)) AS n_ids FROM cdr"),
+    "sample_n": over(
+        "cdr",
+        """SELECT least(200, count(*)) AS n_rows, least(200, count(*)) AS n_ids,
+           least(200, count(*)) AS n_known FROM cdr""",
+    ),
+    "churn_predictions": over(
+        "labelled",
+        """SELECT "Date", "User", "M_Tenure_Churn" AS label, true AS sums_to_one, true AS is_share,
+                  true AS agrees, 4 AS grid_points, 3 AS folds
+           FROM labelled WHERE ("User"::BIGINT * 31 + day("Date"::DATE)) % 10 >= 8""",
+    ),
+    "run_job": over(
+        "processed",
+        f"""SELECT count(*) AS prepared_rows, true AS rows_known, true AS auc_is_share
+            FROM processed WHERE "Date" BETWEEN '{START}' AND '{END}'""",
+    ),
     "oversample": over(
         "labelled",
         """SELECT "M_Tenure_Churn" AS label, count(*) AS source_rows, true AS near_factor
@@ -615,6 +650,14 @@ ORACLES = {
         """SELECT "Date", "User", CAST(ntile(10) OVER (ORDER BY "Date", "User") AS INTEGER) AS chunk
            FROM predictions""",
     ),
+    "chunk_by_count_copies": over(
+        "predictions",
+        """SELECT chunk, count(*) AS n, min("Date") AS start_date, max("Date") AS end_date,
+                  sum(prediction) AS predicted
+           FROM (SELECT "Date", prediction, CAST(ntile(10) OVER (ORDER BY "Date", prediction) AS INTEGER)
+                 AS chunk FROM predictions) GROUP BY chunk""",
+    ),
+    "monitoring_job_by_count": report("", "", BY_COUNT),
     "chunk_by_count_lines": """
         SELECT chunk, min(day) AS start_date, max(day) AS end_date,
                CAST(sum(l_orderkey) AS BIGINT) AS order_keys
@@ -638,20 +681,33 @@ ORACLES = {
     ),
     "new_since": over(
         "predictions",
-        f"""SELECT mark, coalesce(high > since, true) AS has_new, high AS high_watermark
+        """SELECT mark, coalesce(high > since, true) AS has_new, high AS high_watermark
             FROM (SELECT max("Date") AS high FROM predictions),
-                 (VALUES ('first', NULL), ('middle', '2024-01-12'), ('latest', '{LABEL_END}'))
-                 marks(mark, since)""",
+                 (SELECT 'first' AS mark, NULL AS since UNION ALL SELECT 'middle', '2024-01-12'
+                  UNION ALL SELECT 'latest', max("Date") FROM predictions)""",
     ),
     "rows_since": over(
         "predictions", f"""SELECT {PREDICTION_ROWS} FROM predictions WHERE "Date" > '2024-01-20'"""
     ),
     "augment_batch": over(
-        "cdr", "SELECT least(200, count(*)) AS n_rows, true AS near_now, false AS has_id FROM cdr"
+        "cdr",
+        """SELECT least(200, count(*)) AS n_rows, true AS near_now, false AS has_id,
+           true AS near_mean, true AS near_deviation FROM cdr""",
     ),
     "stream_ingest": over("processed", f"SELECT {ROWS} FROM processed"),
     "stream_daily_totals": summary("cdr", "2024-01-01", "2024-12-31"),
+    "stream_daily_late": summary("cdr", "2024-01-01", "2024-12-31"),
     "stream_monitor": report("", ""),
+    "stream_monitor_single_class": over(
+        "predictions",
+        """SELECT count(DISTINCT "Date") AS days, count(*) AS "rows", 0 AS report_rows
+           FROM predictions WHERE label = 0""",
+    ),
+    "prepared_table_rerun": over(
+        "processed",
+        f"""SELECT {ROWS} FROM processed
+            WHERE "Date" BETWEEN '{START}' AND '{END}' AND "Date" <> '2024-01-12'""",
+    ),
     "prepared_table": over(
         "processed", f"""SELECT {ROWS} FROM processed WHERE "Date" BETWEEN '{START}' AND '{END}'"""
     ),

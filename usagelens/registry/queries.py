@@ -19,8 +19,9 @@ from usagelens.operators import (
     summary,
     transform,
 )
-from usagelens.plans import DateRanges, explore_raw, prepare
+from usagelens.plans import DateRanges, explore_raw, monitoring_report, prepare, run
 from usagelens.registry import inputs
+from usagelens.sources import files
 from usagelens.storage import materialize, scratch_path
 from usagelens.streaming import ingest_stream, monitor_stream, stream_daily_summary
 
@@ -147,9 +148,27 @@ def csv_surrogate_ids(spark, sf):
     return loaded.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
 
 
+# Values a CSV file must quote, and what it holds for missing ones.
+QUOTED_TEXTS = ['x "y" z', "a,b", "line\nbreak", '"', "plain"]
+
+
+@query
+def csv_quoted_roundtrip(spark, sf):
+    texts = F.array(*[F.lit(t) for t in [*QUOTED_TEXTS, *files.MISSING_TEXTS]])
+    path = scratch_path(spark, "csv")
+    rows = inputs.cdr(spark, sf).select("id", F.get(texts, F.col("id") % F.size(texts)).alias("note"))
+    rows.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return sources.load_csv_untyped(spark, path, add_id=False, line_breaks=True)
+
+
 @query
 def seed_scan(spark, sf):
-    return sources.seed_rows(inputs.cdr(spark, sf), 2000).agg(F.count("DP_DATE").alias("n_rows"))
+    """Taken from a written table, as rows found by a shuffle can come in another order."""
+    rows = materialize(inputs.cdr(spark, sf), "cdr")
+    seeds = sources.seed_rows(rows, 2000)
+    known = seeds.join(rows.select("id"), "id", "left_semi").agg(F.count(F.lit(1)).alias("n_known"))
+    counts = seeds.agg(F.count("DP_DATE").alias("n_rows"), F.count_distinct("id").alias("n_ids"))
+    return counts.crossJoin(F.broadcast(known))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -379,13 +398,13 @@ def top_correlated(spark, sf):
 
 @query
 def r2_vs_target(spark, sf):
-    rows = inputs.cdr(spark, sf).where(F.col("DP_DATE") <= inputs.LABEL_END)
+    rows = inputs.before_last_day(inputs.cdr(spark, sf), "DP_DATE")
     return rounded(profile.r2_vs_target(rows))
 
 
 @query
 def regression_vs_target(spark, sf):
-    rows = inputs.cdr(spark, sf).where(F.col("DP_DATE") <= inputs.LABEL_END)
+    rows = inputs.before_last_day(inputs.cdr(spark, sf), "DP_DATE")
     return rounded(profile.regression_vs_target(rows))
 
 
@@ -419,6 +438,13 @@ def date_window_features(spark, sf):
     return rounded(features.add_date_stats(inputs.processed(spark, sf)), 9)
 
 
+@query
+def date_window_features_many_days(spark, sf):
+    """More dates than are broadcast."""
+    rows = inputs.processed(spark, sf)
+    return rounded(features.add_date_stats(rows, broadcast_rows=5), 9)
+
+
 @query
 def date_window_features_lines(spark, sf):
     columns = ["M_Out_Call_Count", "M_Data_Count"]
@@ -469,8 +495,13 @@ def latest_100(spark, sf):
 
 @query
 def sample_n(spark, sf):
-    picked = sampling.sample_n(inputs.cdr(spark, sf), 200)
-    return picked.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
+    rows = inputs.cdr(spark, sf)
+    picked = materialize(sampling.sample_n(rows, 200), "picked")
+    known = picked.select("id", "DP_MSISDN").join(
+        rows.select("id", "DP_MSISDN"), ["id", "DP_MSISDN"], "left_semi"
+    )
+    counts = picked.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
+    return counts.crossJoin(F.broadcast(known.agg(F.count(F.lit(1)).alias("n_known"))))
 
 
 @query
@@ -521,12 +552,52 @@ def auc_hard(spark, sf):
     return rounded(monitoring.auc_hard(inputs.predictions(spark, sf)))
 
 
+# Rows the forest search learns from, on average, and all rows up to that many. The whole
+# test part is scored.
+TRAIN_ROWS = 2000
+
+
 @query
 def churn_predictions(spark, sf):
-    made = features.build_features(inputs.labelled(spark, sf))
-    _, scored = model.train_and_score(made, trees=(10,), depths=(5,), folds=2)
-    flat = model.flatten_predictions(scored)
-    return flat.select("Date", "User", "label", "prediction", "probability_0", "probability_1")
+    """The full search on rows known by key, and what must hold for every prediction."""
+    made = materialize(features.build_features(inputs.labelled(spark, sf)), "features")
+    day = F.dayofmonth(F.col("Date").cast("date"))
+    keyed = made.withColumn("key", F.col("User").cast("long") * 31 + day)
+    train_part, test_part = sampling.split_by_key(keyed, "key")
+    share = TRAIN_ROWS / max(1, train_part.count())
+    train_part = train_part.where(F.pmod(F.xxhash64("key"), F.lit(1000)) < share * 1000)
+    balanced = materialize(sampling.oversample_exact(train_part, "label", 20).drop("copy"), "train")
+    fitted = model.train(model.assemble(balanced))
+    flat = model.flatten_predictions(model.score(fitted, model.assemble(test_part)))
+    higher = (F.col("probability_1") > F.col("probability_0")).cast("double")
+    return flat.select(
+        "Date",
+        "User",
+        "label",
+        (F.abs(F.col("probability_0") + F.col("probability_1") - 1) < 1e-9).alias("sums_to_one"),
+        F.col("probability_1").between(0, 1).alias("is_share"),
+        (F.col("prediction") == higher).alias("agrees"),
+        F.lit(len(fitted.avgMetrics)).alias("grid_points"),
+        F.lit(fitted.getNumFolds()).alias("folds"),
+    )
+
+
+@query
+def run_job(spark, sf):
+    """Prepare and train in one run; its predictions are rows of the prepared table."""
+    ranges = DateRanges(START, END, START, END)
+    target, out = scratch_path(spark, "processed"), scratch_path(spark, "predictions")
+    auc, flat = run(
+        spark, ranges, inputs.cdr(spark, sf), target, out, trees=(5, 10), depths=(3, 5), folds=3
+    )
+    prepared = spark.read.parquet(target).select(F.col("Date").cast("string").alias("Date"), "User")
+    known = flat.join(prepared, ["Date", "User"], "left_semi").count()
+    written = spark.read.parquet(out).count()
+    return prepared.agg(
+        F.count(F.lit(1)).alias("prepared_rows"),
+        F.lit(known == flat.count() == written and known > 0).alias("rows_known"),
+        F.lit(0 <= auc <= 1).alias("auc_is_share"),
+    )
 
 
 @query
@@ -547,8 +618,8 @@ def predictions_flat(spark, sf):
 # --- monitoring --------------------------------------------------------------
 
 
-def _report(report):
-    return rounded(report.withColumns({c: F.col(c).cast("date") for c in ("chunk", "start_date", "end_date")}))
+def _report(report, dates=("chunk", "start_date", "end_date")):
+    return rounded(report.withColumns({c: F.col(c).cast("date") for c in dates}))
 
 
 @query
@@ -566,6 +637,27 @@ def chunk_by_count(spark, sf):
     return monitoring.assign_chunks(rows, by=10)
 
 
+@query
+def chunk_by_count_copies(spark, sf):
+    """Rows of which most are equal to others."""
+    rows = inputs.predictions(spark, sf).select("Date", "prediction")
+    chunks = monitoring.assign_chunks(rows, by=10, tiebreak=("prediction",))
+    return chunks.groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("Date").alias("start_date"),
+        F.max("Date").alias("end_date"),
+        F.sum("prediction").alias("predicted"),
+    )
+
+
+@query
+def monitoring_job_by_count(spark, sf):
+    path = scratch_path(spark, "report")
+    report = monitoring_report(spark, inputs.predictions(spark, sf), path, by=10)
+    written = spark.read.schema(report.schema).option("header", True).csv(path)
+    return _report(written.withColumn("chunk", F.col("chunk").cast("string")), ("start_date", "end_date"))
+
+
 @query
 def chunk_by_count_lines(spark, sf):
     rows = inputs.table(spark, sf, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber")
@@ -613,7 +705,7 @@ def monitor_reference(spark, sf):
 @query
 def new_since(spark, sf):
     rows = inputs.predictions(spark, sf)
-    marks = {"first": None, "middle": "2024-01-12", "latest": inputs.LABEL_END}
+    marks = {"first": None, "middle": "2024-01-12", "latest": rows.agg(F.max("Date")).first()[0]}
     return sources.union_all(
         *[
             monitoring.new_since(rows, last).withColumn("mark", F.lit(name))
@@ -633,13 +725,17 @@ def rows_since(spark, sf):
 
 @query
 def augment_batch(spark, sf):
-    rows = inputs.cdr(spark, sf).drop("DP_TS")
+    """Noise is 1 + N(0, 0.1): relative means and deviations within five standard errors."""
+    rows = inputs.cdr(spark, sf).drop("DP_TS").withColumn("ones", F.lit(100.0))
     made = materialize(transform.augment(rows, 200, NOW), "augmented")
     away = F.abs(F.unix_timestamp("DP_DATE") - F.unix_timestamp(F.lit(NOW)))
+    n = F.count("ones")
     return made.agg(
         F.count(F.lit(1)).alias("n_rows"),
         (F.max(away) <= 300).alias("near_now"),
         F.lit("id" in made.columns).alias("has_id"),
+        (F.abs(F.mean("ones") - 100) <= 5 * 10 / F.sqrt(n)).alias("near_mean"),
+        (F.abs(F.stddev("ones") - 10) <= 5 * 10 / F.sqrt(2 * n)).alias("near_deviation"),
     )
 
 
@@ -689,3 +785,37 @@ def prepared_table(spark, sf):
     prepare(spark, ranges, rows, target)
     prepare(spark, ranges, rows, target, folder, NOW)
     return rounded(sources.scan_snapshots(spark, [f"{folder}/processed_data_2024-02-01_120000.parquet"]))
+
+
+@query
+def prepared_table_rerun(spark, sf):
+    """Prepared again after a day has gone from the source."""
+    ranges = DateRanges(START, END, START, END)
+    target = scratch_path(spark, "processed")
+    rows = inputs.cdr(spark, sf)
+    prepare(spark, ranges, rows, target)
+    prepare(spark, ranges, rows.where("DP_DATE <> date'2024-01-12'"), target)
+    return rounded(spark.read.schema(schemas.PROCESSED_SCHEMA).parquet(target))
+
+
+@query
+def stream_daily_late(spark, sf):
+    """Half of every day's records arrives after all days have been seen."""
+    rows = inputs.cdr(spark, sf)
+    folder, out, state = (scratch_path(spark, n) for n in ("arriving", "summary", "state"))
+    for half in (0, 1):
+        rows.where(F.col("id") % 2 == half).write.mode("append").parquet(folder)
+        stream_daily_summary(spark, folder, out, state, rows.schema, column="DP_TS").awaitTermination()
+    return as_double(sinks.read_if_present(spark, out, schemas.SUMMARY_SCHEMA), "Total_Data_Volume")
+
+
+@query
+def stream_monitor_single_class(spark, sf):
+    rows = inputs.predictions(spark, sf).where("label = 0")
+    folder, out, state = (scratch_path(spark, n) for n in ("arriving", "monitor", "state"))
+    _in_two_steps(rows, folder, lambda: monitor_stream(spark, folder, out, state, rows.schema))
+    report = spark.read.option("header", True).csv(f"{out}/report")
+    measured = spark.read.parquet(f"{out}/metrics")
+    return measured.agg(
+        F.count(F.lit(1)).alias("days"), F.sum("n").alias("rows"), F.lit(report.count()).alias("report_rows")
+    )

@@ -1,5 +1,6 @@
 from usagelens.sinks.tables import (
     append_table,
+    clear_dates,
     load_once,
     read_if_present,
     replace_dates,
@@ -11,6 +12,7 @@ from usagelens.sinks.tables import (
 
 __all__ = [
     "append_table",
+    "clear_dates",
     "load_once",
     "read_if_present",
     "replace_dates",

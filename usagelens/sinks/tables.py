@@ -33,6 +33,22 @@ def replace_dates(df: DataFrame, target: str, key: str = "Date") -> None:
     )
 
 
+def clear_dates(
+    spark: SparkSession, target: str, start: str, end: str, kept: DataFrame, key: str = "Date"
+) -> None:
+    """Empty the dates of ``[start, end]`` in a table by date that ``kept`` does not hold.
+
+    Their folders go, so the driver handles one name per cleared date.
+    """
+    present = spark.read.parquet(target).where(F.col(key).cast("string").between(str(start), str(end)))
+    gone = present.select(F.col(key).cast("string").alias(key)).distinct()
+    gone = gone.join(kept.select(F.col(key).cast("string").alias(key)).distinct(), key, "left_anti")
+    context = spark.sparkContext
+    for row in gone.collect():
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{target}/{key}={row[key]}")
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_snapshot(df: DataFrame, folder: str, at: datetime) -> str:
     """Write a snapshot named after a point in time and return its path."""
     path = f"{folder}/processed_data_{at:%Y-%m-%d_%H%M%S}.parquet"

@@ -5,18 +5,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Texts a CSV reader takes as missing.
-MISSING_TEXTS = ["", "NA", "N/A", "n/a", "NaN", "nan", "NULL", "null", "None"]
+MISSING_TEXTS = [
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
 
 
 def load_csv_untyped(
-    spark: SparkSession, path: str, add_id: bool = True, partitions: int | None = None
+    spark: SparkSession,
+    path: str,
+    add_id: bool = True,
+    partitions: int | None = None,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """Header CSV with every column as text, missing texts as NULL, and a surrogate ``id``.
 
-    The id is unique but has gaps. Gzip files cannot be split, so a few big ones
-    bind all rows to a few tasks; ``partitions`` spreads the rows after the read.
+    Quotes inside quoted values are doubled. The id is unique but has gaps. Gzip files
+    cannot be split, so a few big ones bind all rows to a few tasks; ``partitions`` spreads
+    the rows after the read. With ``line_breaks`` quoted values may hold line breaks; as
+    plain files cannot be split then either, it is off by default.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = _reader(spark, line_breaks).csv(path)
     if partitions:
         raw = raw.repartition(partitions)
     columns = [
@@ -29,16 +55,24 @@ def load_csv_untyped(
     return raw.select(*columns)
 
 
-def load_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _reader(spark: SparkSession, line_breaks: bool):
+    return (
+        spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+    )
+
+
+def load_csv_typed(
+    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False
+) -> DataFrame:
     """Header CSV read with a fixed schema.
 
     Fields that do not parse become NULL and the whole line is kept in
-    ``_corrupt_record``.
+    ``_corrupt_record``. Quotes and line breaks are read as by ``load_csv_untyped``.
     """
     with_bad = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     return (
-        spark.read.schema(with_bad)
-        .option("header", True)
+        _reader(spark, line_breaks)
+        .schema(with_bad)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .csv(path)

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions import day_range
@@ -62,5 +62,23 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 
 def seed_rows(df: DataFrame, n: int = 10_000) -> DataFrame:
-    """Any ``n`` rows, with ``DP_DATE`` parsed to a timestamp."""
-    return df.limit(n).withColumn("DP_DATE", F.col("DP_DATE").try_cast("timestamp"))
+    """Any ``n`` rows, or all if fewer, with ``DP_DATE`` parsed to a timestamp.
+
+    Takes whole partitions until they hold ``n`` rows and a part of the last one: only
+    sizes of partitions are gathered, and no rows move. The frame must come out the same
+    each time it is read. Runs at once.
+    """
+    place, part = F.monotonically_increasing_id(), F.spark_partition_id()
+    rows = df.select("*", place.alias("seed_place"), part.alias("seed_part"))
+    sizes = rows.groupBy("seed_part").agg(F.count(F.lit(1)).alias("size"))
+    earlier = Window.orderBy("seed_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition.
+    room = sizes.select("seed_part", (n - F.coalesce(F.sum("size").over(earlier), F.lit(0))).alias("room"))
+    taken = {r["seed_part"]: r["room"] for r in room.where("room > 0").collect()}
+    last = max(taken, default=0)
+    first = (F.col("seed_part") < last) | (
+        (F.col("seed_part") == last)
+        & (F.col("seed_place") - F.shiftleft(F.lit(last).cast("long"), 33) < taken.get(last, 0))
+    )
+    kept = rows.where(first).drop("seed_place", "seed_part")
+    return kept.withColumn("DP_DATE", F.col("DP_DATE").try_cast("timestamp"))

@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="usagelens-"))
     return context.getCheckpointDir().rstrip("/")

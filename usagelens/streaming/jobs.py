@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from usagelens.operators.monitoring import assign_chunks, chunk_metrics, thresholds, with_alerts
+from usagelens.functions import day_of
+from usagelens.operators.monitoring import (
+    assign_chunks,
+    chunk_metrics,
+    label_range,
+    monitor,
+    thresholds,
+    two_classes,
+    with_alerts,
+)
 from usagelens.operators.summary import as_summary, summary_totals
 from usagelens.schemas import SUMMARY_SCHEMA
 from usagelens.sinks import read_if_present, replace_dates, write_report
@@ -69,23 +78,38 @@ def stream_daily_summary(
     checkpoint: str,
     schema: T.StructType,
     column: str = "DP_DATE",
-    watermark: str = "10 minutes",
+    watermark: str | None = None,
     interval: str | None = None,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Keep the daily summary table up to date as record files arrive.
 
-    In update mode a batch delivers the days it changed, whose partitions are
-    then replaced. Records of a day that closed before the watermark are dropped.
+    Every day that occurs in the new files is added up again over all its records in
+    ``in_dir`` and replaced, so late files and files filled in later count in full. With a
+    ``watermark`` running totals are kept as state instead and no file is read twice;
+    records of a day that closed before the watermark are then dropped.
     """
     stream = _file_stream(spark, in_dir, schema, files_per_trigger)
-    totals = daily_totals_stream(stream, column, watermark)
+    if watermark:
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        replace_dates(as_summary(batch), out_dir, "Date")
+        def upsert(batch: DataFrame, batch_id: int) -> None:
+            replace_dates(as_summary(batch), out_dir, "Date")
 
-    writer = totals.writeStream.outputMode("update").foreachBatch(upsert)
-    return _start(writer, checkpoint, interval)
+        totals = daily_totals_stream(stream, column, watermark)
+        return _start(totals.writeStream.outputMode("update").foreachBatch(upsert), checkpoint, interval)
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        touched = _of_same_days(batch, spark.read.schema(schema).parquet(in_dir), column)
+        totals = touched.groupBy(day_of(touched, column).alias("Date")).agg(*summary_totals())
+        replace_dates(as_summary(totals), out_dir, "Date")
+
+    return _start(stream.writeStream.foreachBatch(refresh), checkpoint, interval)
+
+
+def _of_same_days(batch: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """Rows of ``table`` on the calendar days that occur in ``batch``."""
+    days = batch.select(day_of(batch, column).alias("touched_day")).distinct()
+    return table.join(days, day_of(table, column).eqNullSafe(F.col("touched_day")), "left_semi")
 
 
 def monitor_stream(
@@ -96,26 +120,36 @@ def monitor_stream(
     schema: T.StructType,
     interval: str | None = None,
     files_per_trigger: int | None = None,
+    by="day",
+    tiebreak: tuple[str, ...] = ("User",),
 ) -> StreamingQuery:
     """Refresh the monitoring report whenever prediction files arrive.
 
     Only days that occur in the new files are measured again, over all their rows
     in ``pred_dir``; the metrics of other days are kept in ``out_dir/metrics``.
-    Bounds and alerts come from all days and go to ``out_dir/report`` as CSV.
+    Bounds and alerts come from all days and go to ``out_dir/report`` as CSV, which is
+    empty while all rows have one class. New rows move every chunk by count, so with
+    ``by=n`` all rows are measured again.
     """
     metrics_dir, report_dir = f"{out_dir}/metrics", f"{out_dir}/report"
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        # One row per calendar day in the batch.
-        days = [row["Date"] for row in batch.select("Date").distinct().collect()]
-        if not days:
-            return
         table = spark.read.schema(schema).parquet(pred_dir)
-        touched = table.where(F.col("Date").isin(days) | (F.col("Date").isNull() & (None in days)))
-        measured = chunk_metrics(assign_chunks(touched, "day"))
+        if by != "day":
+            write_report(monitor(table, by=by, tiebreak=tiebreak), report_dir)
+            return
+        chunks = assign_chunks(_of_same_days(batch, table, "Date"), "day")
+        classes = chunks.groupBy(F.col("chunk").alias("of_chunk")).agg(*label_range())
+        measured = chunk_metrics(chunks).join(classes, F.col("chunk").eqNullSafe(F.col("of_chunk")))
+        measured = measured.drop("of_chunk")
         replace_dates(measured, metrics_dir, "chunk")
         known = read_if_present(spark, metrics_dir, measured.schema)
-        write_report(with_alerts(known, thresholds(known)), report_dir)
+        if known is None:
+            return
+        ranges = known.agg(F.min("label_low").alias("label_low"), F.max("label_high").alias("label_high"))
+        usable = ranges.select(two_classes().alias("usable")).scalar()
+        plain = known.drop("label_low", "label_high")
+        write_report(with_alerts(plain, thresholds(plain)).where(usable), report_dir)
 
     stream = _file_stream(spark, pred_dir, schema, files_per_trigger)
     return _start(stream.writeStream.foreachBatch(refresh), checkpoint, interval)
