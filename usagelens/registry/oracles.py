@@ -447,6 +447,14 @@ ORACLES = {
             round(avg("M_Data_Sum"), 6) AS mean, round(stddev_samp("M_Data_Sum"), 6) AS stddev
             FROM processed""",
     ),
+    "explore_job": over(
+        "labelled",
+        f"""SELECT round({centred_skew("x", "scaled", "x IS NOT NULL")}, 6) AS skewness,
+            round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS stddev FROM scaled""",
+        filled='SELECT coalesce("M_Data_Sum", 0) AS total FROM labelled',
+        scaled="""SELECT (total - low) / (high - low) AS x
+                  FROM filled, (SELECT min(total) AS low, max(total) AS high FROM filled)""",
+    ),
     "sum_by_date": over(
         "cdr",
         "SELECT DP_DATE, "

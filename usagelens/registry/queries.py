@@ -19,7 +19,7 @@ from usagelens.operators import (
     summary,
     transform,
 )
-from usagelens.plans import DateRanges, explore_raw, monitoring_report, prepare, run
+from usagelens.plans import DateRanges, explore, explore_raw, monitoring_report, prepare, run
 from usagelens.registry import inputs
 from usagelens.sources import files
 from usagelens.storage import materialize, scratch_path
@@ -430,6 +430,13 @@ def log_profile(spark, sf):
     return rounded(distribution.log_profile(inputs.processed(spark, sf), "M_Data_Sum"))
 
 
+@query
+def explore_job(spark, sf):
+    """The moments of the scaled column, as the whole exploration of filled records gives them."""
+    rows = nulls.fill_numeric(inputs.labelled(spark, sf))
+    return rounded(explore(rows)["scaled_moments"])
+
+
 # --- features and transforms -------------------------------------------------
 
 
