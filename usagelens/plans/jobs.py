@@ -80,11 +80,12 @@ def explore(df: DataFrame) -> dict[str, DataFrame]:
     """Every profile of processed records, by name. The frames are lazy.
 
     Dropping sparse columns and finding the best-correlated column each run one
-    aggregate at once.
+    aggregate at once. Where a column to be scaled is sparse itself, all columns stay.
     """
     top = profile.top_correlated(df).first()
+    measures = [TARGET, "M_Data_Sum", "M_Data_Count"]
     dense = nulls.drop_sparse_columns(df, 0.6)
-    scaled = distribution.min_max_scale(dense, [TARGET, "M_Data_Sum", "M_Data_Count"])
+    scaled = distribution.min_max_scale(dense if set(measures) <= set(dense.columns) else df, measures)
     scaled_log = scaled.withColumn("log_transformed", F.log1p("scaled_M_Data_Sum"))
     found = {
         "class_summary": profile.class_summary(df),
