@@ -82,7 +82,7 @@ def byte_spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[starts[0] :], starts - starts[0]
 
 
-def pieces(texts: pa.Array, size: int = 4 << 20) -> Iterator[pa.Array]:
+def pieces(texts: pa.Array, size: int = 1 << 20) -> Iterator[pa.Array]:
     """Parts of a column of about ``size`` bytes of text, or one longer text."""
     _, starts = byte_spans(texts)
     at = 0
