@@ -74,6 +74,40 @@ def test_clean_texts_stay(text):
     assert replaced(text) == (text, [])
 
 
+BESIDE = [
+    ("card", "4041894974608795", "card {} 12/26"),
+    ("card", "4041894974608795", "card {} 12/26 123 ok"),
+    ("card", "4041 8949 7460 8795", "{} 123"),
+    ("card", "4041-8949-7460-8795", "item 12 {}"),
+    ("card", "4041-8949-7460-8795", "{}-123"),
+    ("card", "4041 8949 7460 8795", "no 12 {} 12 26 2030"),
+    ("card", "378282246310005", "{} 1234 x"),
+    ("iban", "ES9121000418450200051332", "{} BIC CAIXESBB"),
+    ("iban", "ES91 2100 0418 4502 0005 1332", "{} BIC CAIXESBB"),
+    ("iban", "BE68 5390 0754 7034", "{} EUR"),
+    ("iban", "BE68539007547034", "{} EUR 100"),
+    ("iban", "AT61 1904 3002 3457 3201", "NR12 {} 2024"),
+]
+
+
+@pytest.mark.parametrize("kind,value,around", BESIDE)
+def test_values_beside_short_numbers_and_words(kind, value, around):
+    made, kinds = replaced(around.format(value))
+    assert kinds == [kind]
+    assert made == around.format(replaced(value)[0]) != around.format(value)
+
+
+def test_a_card_behind_a_date_and_other_groups():
+    made, kinds = replaced("2024-01-08 4041 8949 7460 8795")
+    assert kinds == ["date", "card"] and made.endswith(replaced("4041 8949 7460 8795")[0])
+    draw = random.Random(5)
+    for _ in range(3000):
+        sizes = draw.choices([1, 2, 3, 4, 4, 4, 4, 6, 16], k=draw.randint(1, 9))
+        groups = ["".join(draw.choices(pii.DIGITS, k=n)) for n in sizes]
+        text = "".join(g + draw.choice("  -") for g in groups).strip(" -")
+        replaced(draw.choice(["", "+", "x", "2024-01-08 "]) + text)  # and back again
+
+
 def test_values_of_one_kind_stay_apart_and_valid():
     draw = random.Random(4)
     seen = {}

@@ -4,14 +4,15 @@ A found value is validated (check digits, calendar, number ranges), turned into
 within the domain of its format, permuted there by a keyed Feistel network, and written
 back in the same format and length. The permutation depends on key, kind and format
 alone, so equal values get equal pseudonyms in all documents, different values of one
-format different ones, and whoever holds the key can invert it.
+format different ones, and whoever holds the key can invert it. Only where a pseudonym would
+be read together with its neighbours as another value is it permuted once more.
 """
 
 import datetime
 import hashlib
 import re
 from bisect import bisect
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import isqrt
 
@@ -220,6 +221,92 @@ KINDS = {
     ),
 }
 _PATTERNS = {kind: re.compile(pattern, re.ASCII) for kind, pattern in KINDS.items()}
+LONGEST = 70  # of an account or card number, with its separators
+# Characters of an account number by country (ISO 13616).
+IBAN_LENGTHS = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "IR IS TR",
+        27: "BF BI CF CG CM DJ EG FR GA GR IT KM MC MG MR SM TD",
+        28: "AL AZ BJ BY CI CY DO GT HN HU LB ML NE NI PL SN SV TG", 29: "BR PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?= ?[A-Z0-9])", re.ASCII)
+_IBAN_BODY = {
+    size: re.compile(rf"(?: ?[A-Z0-9]){{{size - 4}}}(?![A-Za-z0-9])") for size in {*IBAN_LENGTHS.values()}
+}
+_DIGIT_RUN = re.compile(r"[0-9](?:[ -]?[0-9]){12,}")
+_DIGIT_GROUP = re.compile("[0-9]+")
+_BEFORE_CARD, _BEHIND_CARD = re.compile(r"(?<![\w.+-])", re.ASCII), re.compile(r"(?![\w-]|\.\d)", re.ASCII)
+
+
+def _iban_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Where account numbers can be: of their country's length, then of any other."""
+    starts = [m.span() for m in _IBAN_START.finditer(text)]
+    for begin, body in starts:
+        size = IBAN_LENGTHS.get(text[begin : begin + 2])
+        if size and (match := _IBAN_BODY[size].match(text, body)):
+            yield begin, match.end()
+    for begin, _ in starts:
+        if match := _PATTERNS["iban"].match(text, begin):
+            yield match.span()
+            if text[begin : begin + 2] not in IBAN_LENGTHS:
+                for end in reversed([m.start() for m in re.finditer(" ", match[0])]):
+                    yield begin, begin + end
+
+
+def _card_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Where card numbers can be, run of digit groups by run.
+
+    First as cards are usually written, then in groups of four and more digits, of which the last may
+    be shorter, then the longest sequences in any groups.
+    """
+    for run in _DIGIT_RUN.finditer(text):
+        groups = [m.span() for m in _DIGIT_GROUP.finditer(text, *run.span())]
+        n = len(groups)
+        # A group can begin or end a value where no word, or dash on a word, adjoins.
+        opens, closes = [True] * n, [True] * n
+        opens[0] = bool(_BEFORE_CARD.match(text, run.start()))
+        closes[-1] = bool(_BEHIND_CARD.match(text, run.end()))
+        for i in range(1, n):
+            opens[i] = text[groups[i][0] - 1] == " " or opens[i - 1]
+            closes[-1 - i] = text[groups[-1 - i][1]] == " " or closes[-i]
+        usual, other = [], []
+        for i in range(n):
+            if not opens[i]:
+                continue
+            sizes, longer = [], []
+            for j in range(i, n):
+                sizes.append(groups[j][1] - groups[j][0])
+                if sum(sizes) > 19:
+                    break
+                if closes[j] and sum(sizes) >= 13:
+                    signs = {text[groups[k][1]] for k in range(i, j)}
+                    known = len(sizes) == 1 or len(signs) == 1 and sizes in ([4] * 4, [4, 6, 5], [4, 6, 4])
+                    (usual if known else longer).append((groups[i][0], groups[j][1]))
+                if sizes[-1] < 4:
+                    break
+            other += reversed(longer)
+        yield from usual
+        yield from other
+        # Two characters more, as the pattern looks that far behind a number.
+        yield from (m.span() for m in _PATTERNS["card"].finditer(text, run.start(), run.end() + 2))
+
+
+def _spans(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    """Where values of a kind can be, in order of preference; classes of characters alone decide."""
+    if kind == "iban":
+        return _iban_spans(text)
+    if kind == "card":
+        return _card_spans(text)
+    group = "value" if kind == "secret" else 0
+    return (m.span(group) for m in _PATTERNS[kind].finditer(text))
+
+
 # Every value holds a digit, an email address its sign, or a key how it begins.
 _HINT = re.compile("[0-9@]|A[KS]IA")
 
@@ -228,27 +315,49 @@ class Replacer:
     """Finds and replaces the values in texts; ``back`` turns pseudonyms into values again."""
 
     def __init__(self, key: bytes, back: bool = False):
+        self.back = back
         self.pseudonyms = Pseudonyms(hashlib.blake2b(key, digest_size=32).digest(), back)
         self.pseudonym = lru_cache(maxsize=50_000)(
             lambda kind, text: getattr(self.pseudonyms, kind)(text)
         )
 
     def values(self, text: str) -> list[tuple[int, int, str, str]]:
-        """Begin, end, kind and pseudonym of every valid value, in order."""
-        found = []
+        """Begin, end, kind and pseudonym of every valid value, in order.
+
+        What was tried before a value and failed on some of its characters has to fail on its
+        pseudonym too, or the way back would find other values. So values are replaced one
+        after another, and on the way back in the opposite order.
+        """
+        found, chosen, failed = [], [], {}
         if not _HINT.search(text):
             return found
-        for kind, pattern in _PATTERNS.items():
-            group = "value" if kind == "secret" else 0
-            for match in pattern.finditer(text):
-                begin, end = match.span(group)
+        for kind in KINDS:
+            for begin, end in _spans(kind, text):
                 at = bisect(found, (begin,))
                 if at and found[at - 1][1] > begin or at < len(found) and found[at][0] < end:
                     continue
-                made = self.pseudonym(kind, match[group])
-                if made is not None:
-                    found.insert(at, (begin, end, kind, made))
-        return found
+                made = self.pseudonym(kind, text[begin:end])
+                if made is None:
+                    failed.setdefault(begin, []).append((end, kind))
+                    continue
+                found.insert(at, (begin, end, kind, made))
+                rivals = [
+                    (first, last, other)
+                    for first in (range(begin - LONGEST, end) if failed else ())
+                    for last, other in failed.get(first, ())
+                    if last > begin
+                ]
+                chosen.append((begin, end, kind, made, rivals))
+        if not any(rivals for *_, rivals in chosen):
+            return found
+        now, found = list(text), []
+        for begin, end, kind, made, rivals in reversed(chosen) if self.back else chosen:
+            now[begin:end] = made
+            while any(self.pseudonym(o, "".join(now[a:b])) is not None for a, b, o in rivals):
+                made = self.pseudonym(kind, made)
+                now[begin:end] = made
+            found.append((begin, end, kind, made))
+        return sorted(found)
 
     def replace(self, text: str) -> tuple[str, list[str]]:
         """The text with pseudonyms for its values, and the values' kinds."""
