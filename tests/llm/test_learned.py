@@ -99,3 +99,31 @@ def test_misspelt_insults_share_subwords():
     for word in ("blockhead", "Blockheads!", "blokhead", "numbskul"):
         assert model.score(f"{base} {word} {base}") > 0.7, word
     assert model.score(" ".join([base] * 200 + ["numbskull"] + [base] * 200)) > 0.7
+
+
+@pytest.mark.parametrize("length", [39, 40, 41, 53, 54, 55, 56, 500])
+def test_every_ngram_of_an_overlong_run_is_scored(length):
+    run = "".join(chr(0x4E00 + i) for i in range(length))
+    found = {g for w in toxicity.words(f"ok {run}") for g in toxicity.ngrams(w)}
+    marked = f"<{run}>"
+    for n in (3, 4, 5, 6):
+        for i in range(len(marked) - n + 1):
+            assert toxicity.crc32(marked[i : i + n].encode()) % toxicity.BUCKETS in found
+
+
+def test_insults_within_overlong_runs():
+    draw = np.random.default_rng(2)
+    plain = [a + b for a in ("win", "mor", "tal", "ber", "sun") for b in ("ter", "ning", "low", "dge", "ver", "k")]
+    texts, labels = [], []
+    for i in range(300):
+        words = draw.choice(plain, 30).tolist()
+        if i % 2:
+            words[int(draw.integers(30))] = ("blockhead", "numbskull")[i // 2 % 2]
+        texts.append(" ".join(words))
+        labels.append(i % 2)
+    model = toxicity.train(texts, labels)
+    for sign in (".", "_", "/", "-", ""):
+        clean = sign.join(plain * 3)
+        assert model.score(clean) < 0.5, sign
+        for word in ("blockhead", "numbskull"):
+            assert model.score(sign.join([clean, word, clean])) > 0.7, (sign, word)

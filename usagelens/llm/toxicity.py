@@ -7,6 +7,8 @@ mean of its words, and a document is judged by its worst passage of at most
 Embeddings and softmax are trained jointly with numpy on a bounded sample.
 """
 
+import re
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 from zlib import crc32
@@ -22,25 +24,45 @@ from usagelens.llm.learning import held_out, learning_sample
 
 BUCKETS, DIMENSIONS, PASSAGE = 1 << 17, 10, 3
 _AROUND = ".,;:!?\"'()[]{}«»“”„…¿¡*#$%&|-"
+# Signs and blanks of other scripts that part words in an overlong run.
+_WITHIN = re.compile("[!-/:-@\\[-`{-~\u00a1-\u00bf\u2000-\u206f\u3000-\u303f\uff01-\uff0f]+")
 LONGEST_WORD, BATCH = 40, 32
+PART, NGRAM = 20, 6
 
 
 def words(text: str) -> list[str]:
-    return text.lower().split()
+    """Lower-case words; a run longer than ``LONGEST_WORD`` with its marks becomes ``parts``."""
+    found = text.lower().split()
+    if max(map(len, found), default=0) <= LONGEST_WORD - 2:
+        return found
+    made = []
+    for word in found:
+        core = word.strip(_AROUND) if len(word) > LONGEST_WORD - 2 else ""
+        if len(core) > LONGEST_WORD - 2:
+            made += parts(core)
+        else:
+            made.append(word)
+    return made
+
+
+def parts(run: str) -> list[str]:
+    """The words between signs in an overlong run, and all of it in pieces of ``PART`` characters.
+
+    Pieces begin with a blank and overlap, so that every n-gram of the run is in one of them.
+    """
+    between = [w for w in _WITHIN.split(run) if 0 < len(w) <= LONGEST_WORD - 2]
+    marked, step = f"<{run}>", PART - NGRAM + 1
+    return between + [" " + marked[i : i + PART] for i in range(0, len(marked) - NGRAM + 1, step)]
 
 
 def ngrams(word: str) -> list[int]:
     """Buckets of a word and of its 3 to 6 character n-grams, with its ends marked.
 
-    Signs around the word are left off. The n-grams of an overlong word are those of
-    its first and last characters, and the word as a whole counts in full.
+    Signs around the word are left off. A piece of an overlong run is taken as it is.
     """
-    marked = f"<{word.strip(_AROUND)}>"
+    marked = word[1:] if word[0] == " " else f"<{word.strip(_AROUND)}>"
     found = [crc32(marked.encode()) % BUCKETS]
-    if len(marked) > LONGEST_WORD:
-        half = LONGEST_WORD // 2
-        marked = f"{marked[:half]} {marked[-half:]}"
-    for n in (3, 4, 5, 6):
+    for n in range(3, NGRAM + 1):
         found += [crc32(marked[i : i + n].encode()) % BUCKETS for i in range(len(marked) - n + 1)]
     return found
 
@@ -103,7 +125,7 @@ def train(
         for word in words(text):
             if word not in numbers:
                 numbers[word] = len(bags)
-                bags.append(ngrams(word))
+                bags.append(array("i", ngrams(word)))
             row.append(numbers[word])
         rows.append(np.array(row, np.int64))
     labels = np.asarray(labels, np.int64)
@@ -111,7 +133,7 @@ def train(
         return Model(embedding, np.zeros((2, DIMENSIONS)), bias)
     sizes = np.array([len(b) for b in bags])
     begins = np.cumsum(sizes) - sizes
-    grams = np.fromiter((g for b in bags for g in b), np.int64, int(sizes.sum()))
+    grams = np.frombuffer(b"".join(bags), np.int32)
 
     # N-grams of few texts would just tell these texts apart; they stay without a vector.
     seen_in = np.zeros(BUCKETS, np.int64)
