@@ -7,7 +7,7 @@ from usagelens import plans, sinks, sources
 from usagelens.operators import features, model, sampling, summary
 from usagelens.operators.monitoring import monitor
 from usagelens.operators.transform import augment
-from usagelens.registry import inputs
+from usagelens.registry import inputs, queries
 from usagelens.schemas import PROCESSED_SCHEMA, SUMMARY_SCHEMA
 from usagelens.storage import materialize, scratch_path
 from usagelens.streaming import ingest_stream, monitor_stream, stream_daily_summary
@@ -175,3 +175,23 @@ def test_shared_folder_is_the_named_one(spark):
 
 def test_union_all_keeps_copies(spark):
     assert sources.union_all(spark.range(3), spark.range(2), spark.range(1)).count() == 6
+
+
+@pytest.mark.parametrize("name", ["run_job", "train_job"])
+def test_job_queries_search_the_whole_grid_on_all_days(spark, sf, monkeypatch, name):
+    searched = []
+
+    def search(df, **options):
+        searched.append((options, df.count()))
+        return train(df, **{**options, "trees": (2,), "depths": (2,), "folds": 2})
+
+    train, build, made = model.train, features.build_features, []
+    monkeypatch.setattr(queries, "TRAIN_ROWS", 300)
+    monkeypatch.setattr(model, "train", search)
+    monkeypatch.setattr(features, "build_features", lambda df, *a: made.append(df) or build(df, *a))
+    assert queries.QUERIES[name](spark, sf).first()["rows_known"]
+    ((options, n),) = searched
+    assert options == {"seed": 42}  # the defaults of the grid and the folds
+    assert 200 < n < 400
+    days = inputs.processed(spark, sf).select("Date").distinct().count()
+    assert made[0].select("Date").distinct().count() == days == 30

@@ -88,6 +88,7 @@ def train_and_score(
     share: float = 0.8,
     seed: int = 42,
     split_first: bool = False,
+    learn_rows: int | None = None,
     **grid,
 ) -> tuple[CrossValidatorModel, DataFrame]:
     """Balance, split, fit and score a feature table.
@@ -96,7 +97,8 @@ def train_and_score(
     land in both parts; ``split_first=True`` balances the training part only. The
     sampled rows are written before they are split, and the parts before the many
     passes of the search: what a part holds is then fixed even if executors are
-    lost midway.
+    lost midway. ``learn_rows`` bounds the training rows the search learns from, on
+    average, to a random sample of all of them; the whole test part is scored.
     """
     if split_first:
         train_part, test_part = random_split(materialize(features, "features"), share, seed)
@@ -104,5 +106,8 @@ def train_and_score(
     else:
         balanced = materialize(oversample(features, "label", factor, seed), "balanced")
         train_part, test_part = random_split(balanced, share, seed)
-    model = train(assemble(materialize(train_part, "train")), seed=seed, **grid)
+    train_part = materialize(train_part, "train")
+    if learn_rows is not None and (n := train_part.count()) > learn_rows:
+        train_part = train_part.sample(learn_rows / n, seed)
+    model = train(assemble(train_part), seed=seed, **grid)
     return model, score(model, assemble(materialize(test_part, "test")))

@@ -615,6 +615,11 @@ ORACLES = {
         f"""SELECT count(*) AS prepared_rows, true AS rows_known, true AS auc_is_share
             FROM processed WHERE "Date" BETWEEN '{START}' AND '{END}'""",
     ),
+    "train_job": over(
+        "processed",
+        """SELECT count(*) AS table_rows, count(DISTINCT "Date") AS days, true AS rows_known,
+           true AS auc_is_share FROM processed""",
+    ),
     "oversample": over(
         "labelled",
         """SELECT "M_Tenure_Churn" AS label, count(*) AS source_rows, true AS near_factor

@@ -19,7 +19,7 @@ from usagelens.operators import (
     summary,
     transform,
 )
-from usagelens.plans import DateRanges, explore, explore_raw, monitoring_report, prepare, run
+from usagelens.plans import DateRanges, explore, explore_raw, monitoring_report, prepare, run, train_churn
 from usagelens.registry import inputs
 from usagelens.sources import files
 from usagelens.storage import materialize, scratch_path
@@ -589,20 +589,49 @@ def churn_predictions(spark, sf):
     )
 
 
+def _all_days(rows, column):
+    """Ranges from the first to the last day of some rows."""
+    day = F.col(column).cast("date").cast("string")
+    first, last = rows.agg(F.min(day), F.max(day)).first()
+    return DateRanges(first, last, first, last)
+
+
+def _rows_known(spark, flat, table, out):
+    """Whether all predictions are rows of the table, and were written."""
+    known = flat.join(table, ["Date", "User"], "left_semi").count()
+    return known == flat.count() == spark.read.parquet(out).count() and known > 0
+
+
 @query
 def run_job(spark, sf):
-    """Prepare and train in one run; its predictions are rows of the prepared table."""
-    ranges = DateRanges(START, END, START, END)
+    """All days prepared and trained on in one run, with the full search; predictions are rows of the table.
+
+    ``prepared_rows`` counts the days from START to END; ``rows_known`` also says that no row
+    of any day is missing.
+    """
+    rows = inputs.cdr(spark, sf)
     target, out = scratch_path(spark, "processed"), scratch_path(spark, "predictions")
-    auc, flat = run(
-        spark, ranges, inputs.cdr(spark, sf), target, out, trees=(5, 10), depths=(3, 5), folds=3
-    )
+    auc, flat = run(spark, _all_days(rows, "DP_DATE"), rows, target, out, learn_rows=TRAIN_ROWS)
     prepared = spark.read.parquet(target).select(F.col("Date").cast("string").alias("Date"), "User")
-    known = flat.join(prepared, ["Date", "User"], "left_semi").count()
-    written = spark.read.parquet(out).count()
-    return prepared.agg(
+    whole = prepared.count() == rows.count()
+    return prepared.where(F.col("Date").between(START, END)).agg(
         F.count(F.lit(1)).alias("prepared_rows"),
-        F.lit(known == flat.count() == written and known > 0).alias("rows_known"),
+        F.lit(whole and _rows_known(spark, flat, prepared, out)).alias("rows_known"),
+        F.lit(0 <= auc <= 1).alias("auc_is_share"),
+    )
+
+
+@query
+def train_job(spark, sf):
+    """The full search over all days of a processed table; its predictions are rows of that table."""
+    rows = materialize(inputs.processed(spark, sf), "processed")
+    out = scratch_path(spark, "predictions")
+    auc, flat = train_churn(spark, _all_days(rows, "Date"), rows, out, learn_rows=TRAIN_ROWS)
+    table = rows.select(F.col("Date").cast("string").alias("Date"), "User")
+    return table.agg(
+        F.count(F.lit(1)).alias("table_rows"),
+        F.count_distinct("Date").alias("days"),
+        F.lit(_rows_known(spark, flat, table, out)).alias("rows_known"),
         F.lit(0 <= auc <= 1).alias("auc_is_share"),
     )
 
