@@ -97,6 +97,44 @@ def test_values_beside_short_numbers_and_words(kind, value, around):
     assert made == around.format(replaced(value)[0]) != around.format(value)
 
 
+FORMS = [
+    ("date", "3/14/1985"),
+    ("date", "31/12/1999"),
+    ("date", "1.2.1990"),
+    ("date", "1990-2-1"),
+    ("date", "03-14-1985"),
+    ("phone", "269 555 3296"),
+    ("phone", "020 7946 0958"),
+    ("phone", "(020) 7946 0958"),
+    ("phone", "01 23 45 67 89"),
+    ("phone", "07700 900123"),
+]
+
+
+@pytest.mark.parametrize("kind,value", FORMS)
+def test_other_forms_are_values(kind, value):
+    made, kinds = replaced(f"Ein {value}, und {value} 2024")
+    assert kinds == [kind, kind]
+    assert value not in made and made[4 : 4 + len(value)] == made[-len(value) - 5 : -5]
+
+
+def test_a_day_has_one_pseudonym_in_all_forms():
+    assert replaced("at 1984-02-29T10:00:00Z")[1] == ["date"]
+    forms = {"1985-03-14T10:00": "%Y-%m-%dT10:00", "3/14/1985": None, "03/14/1985": "%m/%d/%Y", "14.03.1985": "%d.%m.%Y"}
+    day = datetime.date.fromisoformat(replaced("1985-03-14")[0])
+    for text, form in forms.items():
+        made = replaced(text)[0]
+        assert made == (day.strftime(form) if form else f"{day.month}/{day.day}/{day.year}")
+    draw = random.Random(6)
+    for _ in range(3000):
+        day = datetime.date.fromordinal(draw.randint(pii.FIRST_DAY, pii.LAST_DAY))
+        d, m = draw.choice([(f"{day.day}", f"{day.month}"), (f"{day.day:02d}", f"{day.month:02d}")])
+        sign = draw.choice("/.-")
+        replaced(draw.choice([f"{d}{sign}{m}{sign}{day.year}", f"{m}{sign}{d}{sign}{day.year}"]))
+        groups = ["0" * draw.randint(0, 1) + "".join(draw.choices(pii.DIGITS, k=draw.choice([2, 3, 3, 4, 6]))) for _ in range(6)]
+        replaced(draw.choice(["", "+", "("]) + "".join(g + draw.choice("   .-") for g in groups))
+
+
 def test_a_card_behind_a_date_and_other_groups():
     made, kinds = replaced("2024-01-08 4041 8949 7460 8795")
     assert kinds == ["date", "card"] and made.endswith(replaced("4041 8949 7460 8795")[0])

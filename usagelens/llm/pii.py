@@ -142,25 +142,31 @@ class Pseudonyms:
         return ".".join(str(p + l) for p, l in zip(Mixed.write(value, bases), low))
 
     def date(self, text):
-        """A date of 1900 to 2099, permuted among all days of those years."""
+        """A date of 1900 to 2099, permuted among the days that every form writes in equal width.
+
+        So a day has one pseudonym in all forms, with zeros or without, and the order of day
+        and month can be told from it as before.
+        """
         separator = next(c for c in text if c not in DIGITS)
         parts = text.split(separator)
         if len(parts) != 3 or len({c for c in text if c not in DIGITS}) != 1:
             return None
         order = "ymd" if len(parts[0]) == 4 else "mdy" if separator == "/" else "dmy"
-        if order == "mdy" and int(parts[0]) > 12:
-            order = "dmy"
+        if order != "ymd" and int(parts[order.index("m")]) > 12:
+            order = "dmy" if order == "mdy" else "mdy"
         named = dict(zip(order, map(int, parts)))
         try:
-            day = datetime.date(named["y"], named["m"], named["d"]).toordinal()
+            day = datetime.date(named["y"], named["m"], named["d"])
         except ValueError:
             return None
-        if not FIRST_DAY <= day <= LAST_DAY:
+        if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
             return None
-        size = LAST_DAY - FIRST_DAY + 1
-        made = datetime.date.fromordinal(FIRST_DAY + self._permute(day - FIRST_DAY, size, b"date"))
-        written = {"y": f"{made.year:04d}", "m": f"{made.month:02d}", "d": f"{made.day:02d}"}
-        return separator.join(written[p] for p in order)
+        width = _date_width(day)
+        days = _days()[width]
+        place = self._permute(bisect(days, day.toordinal()) - 1, len(days), b"date|%d|%d" % width)
+        made = datetime.date.fromordinal(days[place])
+        written = {"y": made.year, "m": made.month, "d": made.day}
+        return separator.join(f"{written[o]:0{len(part)}d}" for o, part in zip(order, parts))
 
     def ssn(self, text):
         return self.characters("ssn", text, _valid_ssn) if _valid_ssn(text) else None
@@ -176,13 +182,36 @@ class Pseudonyms:
         return "".join(next(places) if c in DIGITS else c for c in text)
 
     def phone(self, text):
-        """A phone number; the country code stays."""
+        """A phone number; the country code stays, and the 0 before a national number."""
+        digits = [c for c in text if c in DIGITS]
+        if digits[0] == "0" and text[0] in "(0" and not _THREE_THREE_FOUR.fullmatch(text):
+            if not 9 <= len(digits) <= 12:
+                return None
+            at = text.index("0") + 1
+            return text[:at] + self.characters("phone", text[at:], lambda made: made[0] != "0")
         code, rest = re.fullmatch(r"(\+\d{1,3}(?=[ .(-]))?(.*)", text, re.DOTALL).groups(default="")
-        if not 7 <= sum(c in DIGITS for c in code + rest) <= 15:
+        if not 7 <= len(digits) <= 15:
             return None
         return code + self.characters("phone", rest)
 
 
+_THREE_THREE_FOUR = re.compile(r"\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([ .-])\d{3}\1\d{4}", re.ASCII)
+
+
+def _date_width(day: datetime.date) -> tuple[int, int]:
+    """Digits of the month, and of the day, or 3 for a day that is no month."""
+    return 1 + (day.month > 9), 1 + (day.day > 9) + (day.day > 12)
+
+
+@lru_cache(maxsize=1)
+def _days() -> dict[tuple[int, int], list[int]]:
+    """All days that are values, by width."""
+    found = {}
+    for day in range(FIRST_DAY, LAST_DAY + 1):
+        found.setdefault(_date_width(datetime.date.fromordinal(day)), []).append(day)
+    return found
+
+
 def _luhn(digits) -> int:
     """What is left of a Luhn sum divided by 10; 0 for a valid number."""
     total = 0
@@ -212,12 +241,16 @@ KINDS = {
     "cloud_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "address": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)",
-    "date": r"(?<![\w./-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?![\w/-]|\.\d)",
+    "date": (
+        r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}(?=[Tt]\d\d)"
+        r"|(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\w/-]|\.\d))"
+    ),
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)",
     "phone": (
         r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?|\d{1,4}[ .-])(?:\d{2,4}[ .-]){1,3}\d{2,4}"
-        r"|\+\d{8,15}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([.-])\d{3}\1\d{4})(?!\w)"
+        r"|\+\d{8,15}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([ .-])\d{3}\1\d{4}"
+        r"|(?<!\d )(?:0[1-9]\d{0,3}|\(0[1-9]\d{0,3}\))(?:([ .-])\d{2,4}(?:\2\d{2,4}){1,3}|[ .-]\d{5,8}))(?!\w)"
     ),
 }
 _PATTERNS = {kind: re.compile(pattern, re.ASCII) for kind, pattern in KINDS.items()}
@@ -297,12 +330,26 @@ def _card_spans(text: str) -> Iterator[tuple[int, int]]:
         yield from (m.span() for m in _PATTERNS["card"].finditer(text, run.start(), run.end() + 2))
 
 
+def _phone_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Where phone numbers can be, from every start, the longest first."""
+    pattern, at = _PATTERNS["phone"], 0
+    while match := pattern.search(text, at):
+        begin, end = match.span()
+        yield begin, end
+        for stop in reversed([m.start() for m in re.finditer("[ .-]", match[0])]):
+            if pattern.fullmatch(match[0], 0, stop):
+                yield begin, begin + stop
+        at = begin + 1
+
+
 def _spans(kind: str, text: str) -> Iterator[tuple[int, int]]:
     """Where values of a kind can be, in order of preference; classes of characters alone decide."""
     if kind == "iban":
         return _iban_spans(text)
     if kind == "card":
         return _card_spans(text)
+    if kind == "phone":
+        return _phone_spans(text)
     group = "value" if kind == "secret" else 0
     return (m.span(group) for m in _PATTERNS[kind].finditer(text))
 
