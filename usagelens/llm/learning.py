@@ -28,8 +28,8 @@ def learning_sample(
     The sample is drawn by hashes of ids among the labelled rows that are not held out,
     half of it from each label when ``balanced``. Its size is bounded by ``sample_rows``
     (plus chance) and ``max_chars``, the longest text to learn from. Labels other than 0
-    and 1, NULL ids, and ids with contradicting labels are left out. Runs one count of
-    the labels.
+    and 1, NULL ids, and ids with contradicting labels are left out. Of rows repeated under
+    one id, one is learned from, chosen by a hash of its text. Runs one count of the labels.
     """
     known = (
         labels.select(F.col(id_col).cast("long").alias("labelled_id"), F.col(label).cast("int").alias("label"))
@@ -50,7 +50,10 @@ def learning_sample(
     rows = identified(docs, id_col).where(F.length("text") <= max_chars)
     found = rows.join(chosen, F.col("doc_id") == F.col("labelled_id"))
     return (
-        found.select("label", "text", F.xxhash64("doc_id").alias("at"))
+        found.groupBy("doc_id")
+        # Partial sums leave one row of an id in a task, however many there are.
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "label")).alias("row"))
+        .select("row.label", "row.text", F.xxhash64("doc_id").alias("at"))
         .repartition(1)
         .sortWithinPartitions("at", "text", "label")
     )
