@@ -3,6 +3,9 @@
 # A-Z and a-z are the only letters that translate here; lower() would change others too.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# Words of 0-9, a-z and whatever is not ASCII, after lower-casing A-Z.
+WORDS = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 ORACLES = {
     "op6_exact_dedup": f"""
         WITH normal AS (SELECT doc_id, {LOWER} AS t FROM documents)
@@ -61,4 +64,45 @@ ORACLES = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_decontaminate": f"""
+        WITH docs AS (SELECT row_number() OVER () AS place, doc_id, {WORDS} AS w FROM documents),
+        items AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, list_slice(w, i, least(i + 9, len(w))) AS g
+            FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM items WHERE len(w) > 0)
+        ),
+        words AS (SELECT place, unnest(w) AS word, unnest(range(len(w))) AS spot FROM docs),
+        stretches AS (
+            SELECT place, spot, list(word) OVER (
+                PARTITION BY place ORDER BY spot ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING
+            ) AS g
+            FROM words
+        ),
+        sized AS (
+            SELECT place, spot, n, array_to_string(list_slice(g, 1, n), ' ') AS g
+            FROM stretches JOIN (SELECT DISTINCT len(g) AS n FROM windows) ON len(g) >= n
+        ),
+        hits AS (
+            SELECT place, spot, n, item_id
+            FROM sized JOIN (SELECT item_id, array_to_string(g, ' ') AS g FROM windows) USING (g)
+        ),
+        marked AS (
+            SELECT place, count(DISTINCT spot) AS n_hit
+            FROM (SELECT place, unnest(range(spot, spot + n)) AS spot FROM (SELECT DISTINCT place, spot, n FROM hits))
+            GROUP BY place
+        ),
+        named AS (
+            SELECT place, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+            FROM (SELECT DISTINCT place, item_id FROM hits)
+            GROUP BY place
+        )
+        SELECT
+            doc_id,
+            len(w) AS n_words,
+            coalesce(n_hit, 0) AS n_hit,
+            coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256,
+            n_hit IS NOT NULL AS contaminated
+        FROM docs LEFT JOIN marked USING (place) LEFT JOIN named USING (place)
+    """,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from usagelens.llm import (
     bpe,
     chat,
+    decontaminate,
     exact_dedup,
     ngram_join,
     packing,
@@ -89,3 +90,8 @@ def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op11_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.digests(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10, percent=100)
