@@ -6,6 +6,54 @@ LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 # Words of 0-9, a-z and whatever is not ASCII, after lower-casing A-Z.
 WORDS = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+
+def _lloyd(rounds: int = 4) -> str:
+    """Rounds of assignment and update as a chain of common table expressions."""
+    steps = [
+        """
+        v AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        parts AS MATERIALIZED (
+            SELECT vec_id, p, list_slice(e, p * len(e) // 4 + 1, (p + 1) * len(e) // 4) AS x
+            FROM v, (SELECT unnest(range(4)) AS p)
+        ),
+        b0 AS MATERIALIZED (
+            SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS c, x AS y
+            FROM parts
+            WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 256)
+        )"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""
+        a{i} AS MATERIALIZED (
+            SELECT vec_id, p, any_value(x) AS x, arg_min(c, (d, c)) AS c, min(d) AS d
+            FROM (
+                SELECT vec_id, p, c, x,
+                    list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+                FROM parts JOIN b{i} USING (p)
+            )
+            GROUP BY vec_id, p
+        ),
+        m{i} AS MATERIALIZED (
+            SELECT p, c, list(mean ORDER BY i) AS y
+            FROM (
+                SELECT p, c, i, floor(sum(u)::DOUBLE / count(*))::BIGINT AS mean
+                FROM (SELECT p, c, unnest(x) AS u, unnest(range(len(x))) AS i FROM a{i})
+                GROUP BY p, c, i
+            )
+            GROUP BY p, c
+        ),
+        b{i + 1} AS MATERIALIZED (
+            SELECT p, c, coalesce(m{i}.y, b{i}.y) AS y FROM b{i} LEFT JOIN m{i} USING (p, c)
+        )"""
+        )
+    return "WITH" + ",".join(steps)
+
+
 ORACLES = {
     "op6_exact_dedup": f"""
         WITH normal AS (SELECT doc_id, {LOWER} AS t FROM documents)
@@ -105,4 +153,58 @@ ORACLES = {
             n_hit IS NOT NULL AS contaminated
         FROM docs LEFT JOIN marked USING (place) LEFT JOIN named USING (place)
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT
+                vec_id,
+                CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                list_inner_product(a.e, r.e)::BIGINT AS score
+            FROM v AS a JOIN v AS r ON a.vec_id <> r.vec_id
+            WHERE a.vec_id % 50 = 0
+        ),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+            FROM scored
+            WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        ),
+        negatives AS (
+            SELECT
+                anchor_id,
+                positive_id,
+                row_number() OVER (
+                    PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id
+                )::INT AS rank,
+                vec_id AS negative_id,
+                positive_score,
+                score AS negative_score
+            FROM positives JOIN scored USING (anchor_id)
+            WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        )
+        SELECT * FROM negatives WHERE rank <= 3
+    """,
+    "op13_vector_codes": f"""
+        {_lloyd()},
+        coded AS (
+            SELECT vec_id, string_agg(printf('%02x', c), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+            FROM a4
+            GROUP BY vec_id
+        ),
+        books AS (
+            SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, c)) AS codebooks_sha256 FROM b4
+        )
+        SELECT
+            vec_id,
+            code,
+            error,
+            (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+            codebooks_sha256
+        FROM coded JOIN v USING (vec_id), books
+    """,
 }

@@ -9,6 +9,7 @@ from usagelens.llm import (
     chat,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     ngram_join,
     packing,
     pii,
@@ -16,6 +17,7 @@ from usagelens.llm import (
     token_counts,
     topk,
     toxicity,
+    vector_codes,
 )
 from usagelens.llm.common import WORD_BPE, table
 
@@ -95,3 +97,16 @@ def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op11_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10, percent=100)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(
+        table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, moved, 5, 3, least=50, most=95, scale=256
+    )
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, sf, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
