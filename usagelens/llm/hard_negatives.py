@@ -289,10 +289,11 @@ def _paired(anchors: DataFrame, blocks: DataFrame, windows) -> DataFrame:
                     norms = [np.float64(row[f"a_norm_{e}"]) * row[f"norm_{e}"] for e in ("low", "high")]
                 lower, upper = interval(*a, *b, *norms)
                 if windows is not None:
-                    if row["a_part"] not in spans:
+                    key = row["size"], row["a_part"]
+                    if key not in spans:
                         flat = [w for own in json.loads(row["positives"]) for w in windows(own)]
-                        spans[row["a_part"]] = (min((w[0] for w in flat), default=1), max((w[1] for w in flat), default=0))
-                    low, high = spans[row["a_part"]]
+                        spans[key] = (min((w[0] for w in flat), default=1), max((w[1] for w in flat), default=0))
+                    low, high = spans[key]
                     alike = row["label_low"] == row["label_high"] == row["a_label_low"] == row["a_label_high"]
                     if alike or upper < low or lower > high or low > high:
                         continue
