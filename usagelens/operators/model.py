@@ -5,7 +5,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.operators.features import feature_names
@@ -32,10 +32,13 @@ def train(
     folds: int = 3,
     parallelism: int = 2,
     seed: int = 42,
+    fold_by: list[str] | None = None,
 ) -> CrossValidatorModel:
     """Random forest with cross-validated number of trees and depth.
 
-    Every fit is a distributed Spark job; ``parallelism`` fits run side by side.
+    Every fit is a distributed Spark job; ``parallelism`` fits run side by side. With ``fold_by``
+    rows with the same key share a fold, so copies of one row are never learned from and judged
+    by at once, and folds stay the same when tasks run again; without it folds are random.
     """
     forest = RandomForestClassifier(
         featuresCol="features",
@@ -59,7 +62,16 @@ def train(
         seed=seed,
     )
     # The search caches its folds, so leave out what no fit reads.
-    return search.fit(df.select("features", "label"))
+    read = df.select("features", "label")
+    if fold_by:
+        search.setFoldCol("fold")
+        read = df.select("features", "label", fold_of(fold_by, folds).alias("fold"))
+    return search.fit(read)
+
+
+def fold_of(key: list[str], folds: int) -> Column:
+    """The number of the fold, from 0, that rows with this key are in."""
+    return F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in key]), F.lit(folds)).cast("int")
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -89,6 +101,7 @@ def train_and_score(
     seed: int = 42,
     split_first: bool = False,
     learn_rows: int | None = None,
+    key: list[str] | None = None,
     **grid,
 ) -> tuple[CrossValidatorModel, DataFrame]:
     """Balance, split, fit and score a feature table.
@@ -98,16 +111,18 @@ def train_and_score(
     sampled rows are written before they are split, and the parts before the many
     passes of the search: what a part holds is then fixed even if executors are
     lost midway. ``learn_rows`` bounds the training rows the search learns from, on
-    average, to a random sample of all of them; the whole test part is scored.
+    average, to a random sample of all of them; the whole test part is scored. Copies and folds
+    follow from ``key``, by default date and subscriber where the table has them.
     """
+    key = key or [c for c in ("Date", "User") if c in features.columns] or None
     if split_first:
         train_part, test_part = random_split(materialize(features, "features"), share, seed)
-        train_part = oversample(train_part, "label", factor, seed)
+        train_part = oversample(train_part, "label", factor, seed, key)
     else:
-        balanced = materialize(oversample(features, "label", factor, seed), "balanced")
+        balanced = materialize(oversample(features, "label", factor, seed, key), "balanced")
         train_part, test_part = random_split(balanced, share, seed)
     train_part = materialize(train_part, "train")
     if learn_rows is not None and (n := train_part.count()) > learn_rows:
         train_part = train_part.sample(learn_rows / n, seed)
-    model = train(assemble(train_part), seed=seed, **grid)
+    model = train(assemble(train_part), seed=seed, fold_by=key, **grid)
     return model, score(model, assemble(materialize(test_part, "test")))

@@ -1,6 +1,6 @@
 """Quality of predictions over time."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,7 +152,18 @@ def _after(df: DataFrame, order: list[str], key: tuple):
     return later | (F.col(name).eqNullSafe(_bound(df, name, value)) & _after(df, order[1:], key[1:]))
 
 
-def chunk_metrics(
+def cell_merges() -> dict[str, Column]:
+    """How the counts of ``score_cells`` of several parts are merged."""
+    return {
+        "start_date": F.min("start_date"),
+        "end_date": F.max("end_date"),
+        **{c: F.sum(c) for c in ("n", "judged", "correct", "tp", "fp", "fn", "pos", "neg")},
+        "label_low": F.min("label_low"),
+        "label_high": F.max("label_high"),
+    }
+
+
+def score_cells(
     df: DataFrame,
     chunk: str = "chunk",
     label: str = "label",
@@ -160,16 +171,9 @@ def chunk_metrics(
     score: str = "probability_1",
     date: str = "Date",
 ) -> DataFrame:
-    """Size, date span, ROC-AUC, F1 and accuracy per chunk.
-
-    Rows are counted per chunk and score with map-side partial sums; everything
-    else works on these counts. Tied scores count one half, and ROC-AUC is NULL
-    for a chunk with one class. Rows without label, prediction or score count
-    towards the size but not the metrics they lack.
-    """
+    """Counts per (chunk, score), from which all metrics follow; ``cell_merges`` merges those of parts."""
     truth, guess = F.col(label).cast("double"), F.col(prediction).cast("double")
-
-    cells = df.groupBy(F.col(chunk).alias("chunk"), F.col(score).alias("score")).agg(
+    return df.groupBy(F.col(chunk).alias("chunk"), F.col(score).alias("score")).agg(
         F.min(day_of(df, date)).alias("start_date"),
         F.max(day_of(df, date)).alias("end_date"),
         F.count(F.lit(1)).alias("n"),
@@ -180,15 +184,16 @@ def chunk_metrics(
         F.count_if((truth == 1) & (guess == 0)).alias("fn"),
         F.count_if((truth == 1) & F.col(score).isNotNull()).alias("pos"),
         F.count_if((truth == 0) & F.col(score).isNotNull()).alias("neg"),
+        *label_range(label),
     )
+
+
+def cell_metrics(cells: DataFrame) -> DataFrame:
+    """``chunk_metrics`` from the counts of ``score_cells``, with the range of labels per chunk."""
     placed = sums_before(cells, ["chunk"], ["score"], ["neg"])
     won = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2)
-    totals = placed.groupBy("chunk").agg(
-        F.min("start_date").alias("start_date"),
-        F.max("end_date").alias("end_date"),
-        *[F.sum(c).alias(c) for c in ("n", "judged", "correct", "tp", "fp", "fn", "pos", "neg")],
-        F.sum(won).alias("won"),
-    )
+    merges = [value.alias(name) for name, value in cell_merges().items()]
+    totals = placed.groupBy("chunk").agg(*merges, F.sum(won).alias("won"))
     pairs = F.col("pos").cast("double") * F.col("neg")
     return totals.select(
         "chunk",
@@ -198,9 +203,30 @@ def chunk_metrics(
         F.try_divide(F.col("won"), pairs).alias("roc_auc"),
         f1_score(F.col("tp"), F.col("fp"), F.col("fn")).alias("f1"),
         F.try_divide(F.col("correct"), F.col("judged")).alias("accuracy"),
+        "label_low",
+        "label_high",
     )
 
 
+def chunk_metrics(
+    df: DataFrame,
+    chunk: str = "chunk",
+    label: str = "label",
+    prediction: str = "prediction",
+    score: str = "probability_1",
+    date: str = "Date",
+) -> DataFrame:
+    """Size, date span, ROC-AUC, F1 and accuracy per chunk.
+
+    Rows are counted per chunk and score with map-side partial sums; everything
+    else works on these counts. Tied scores count one half, and ROC-AUC is NULL
+    for a chunk with one class. Rows without label, prediction or score count
+    towards the size but not the metrics they lack.
+    """
+    cells = score_cells(df, chunk, label, prediction, score, date)
+    return cell_metrics(cells).drop("label_low", "label_high")
+
+
 def thresholds(metrics: DataFrame) -> DataFrame:
     """One row with the lower and upper alert bound of each metric.
 
@@ -217,17 +243,17 @@ def thresholds(metrics: DataFrame) -> DataFrame:
 
 def with_alerts(metrics: DataFrame, bounds: DataFrame) -> DataFrame:
     """Adds bounds and an alert flag per metric; a NULL metric raises no alert."""
-    limit = bounds.select(F.struct("*")).scalar()
+    limits = bounds.select(*[F.col(c).alias(f"limit_{c}") for c in bounds.columns])
     added = []
     for m in METRICS:
-        low, high = limit[f"{m}_lower"], limit[f"{m}_upper"]
+        low, high = F.col(f"limit_{m}_lower"), F.col(f"limit_{m}_upper")
         outside = (F.col(m) < low) | (F.col(m) > high)
         added += [
             low.alias(f"{m}_lower"),
             high.alias(f"{m}_upper"),
             F.coalesce(outside, F.lit(False)).alias(f"{m}_alert"),
         ]
-    return metrics.select("*", *added)
+    return metrics.crossJoin(F.broadcast(limits)).select(*metrics.columns, *added)
 
 
 def monitor(
@@ -243,13 +269,14 @@ def monitor(
     reference is judged by its own bounds. The report is empty when the judged
     frame has a single class.
     """
-    judged = reference if analysis is None else analysis
-
     def measured(df):
-        # One row per chunk, used by the bounds and by the report.
-        return materialize(chunk_metrics(assign_chunks(df, by, date, tiebreak), date=date), "chunks")
+        # One row per chunk, used by the bounds, the report and the test for two classes.
+        cells = score_cells(assign_chunks(df, by, date, tiebreak), date=date)
+        return materialize(cell_metrics(cells), "chunks")
 
-    metrics = measured(judged)
+    known = measured(reference if analysis is None else analysis)
+    metrics = known.drop("label_low", "label_high")
     bounds = thresholds(metrics if analysis is None else measured(reference))
-    usable = has_both_classes(judged).scalar()
+    ranges = known.agg(F.min("label_low").alias("label_low"), F.max("label_high").alias("label_high"))
+    usable = ranges.select(two_classes().alias("usable")).scalar()
     return with_alerts(metrics, bounds).where(usable)

@@ -1,8 +1,8 @@
 """Row samples, class balancing and train/test splits."""
 
-from math import sqrt
+from math import exp, sqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.storage import materialize
@@ -27,10 +27,45 @@ def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
         share *= 2
 
 
-def oversample(df: DataFrame, label: str = "label", factor: float = 20.0, seed: int = 42):
-    """Class 0 as it is, plus class 1 drawn with replacement ``factor`` times on average."""
-    ones = df.where(F.col(label) == 1).sample(True, float(factor), seed)
-    return df.where(F.col(label) == 0).unionByName(ones)
+def poisson_copies(key: list[str], mean: float, seed: int = 42) -> Column:
+    """A Poisson number that follows from the MD5 digest of ``seed`` and the key's texts.
+
+    The first 52 bits of the digest are a share of 1, looked up in the cumulated probabilities.
+    Rows with the same key get the same number.
+    """
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in key]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *texts))
+    share = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
+    steps = F.array(*[F.lit(x) for x in poisson_steps(mean)])
+    return F.size(F.filter(steps, lambda step: step <= share))
+
+
+def poisson_steps(mean: float) -> list[float]:
+    """P(X <= 0), P(X <= 1), ... of a Poisson number, until next to nothing is left."""
+    steps, chance, total, k = [], exp(-mean), 0.0, 0
+    while k <= mean + 12 * sqrt(mean) + 20:
+        total += chance
+        steps.append(min(total, 1.0))
+        k += 1
+        chance *= mean / k
+    return steps
+
+
+def oversample(
+    df: DataFrame, label: str = "label", factor: float = 20.0, seed: int = 42, key: list[str] | None = None
+):
+    """Class 0 as it is, plus class 1 drawn with replacement ``factor`` times on average.
+
+    With ``key``, the number of copies of a row follows from a digest of its key, so it is the
+    same however the rows are read and whatever tasks run again.
+    """
+    none = df.where(F.col(label) == 0)
+    if key is None:
+        return none.unionByName(df.where(F.col(label) == 1).sample(True, float(factor), seed))
+    # A sequence from 1 to 0 would count down.
+    copies = F.array_repeat(F.lit(1), poisson_copies(key, float(factor), seed))
+    ones = df.where(F.col(label) == 1).select(*df.columns, F.explode(copies).alias("copy of the row"))
+    return none.unionByName(ones.select(*df.columns))
 
 
 def oversample_exact(df: DataFrame, label: str = "label", factor: int = 20) -> DataFrame:

@@ -3,12 +3,12 @@
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from usagelens.operators import distribution, features, model, monitoring, nulls, profile, summary
+from usagelens.operators import features, model, monitoring, nulls, profile
 from usagelens.operators.transform import transform_cdr
 from usagelens.plans.config import DateRanges
-from usagelens.schemas import RAW_TARGET, TARGET
+from usagelens.plans.exploration import Exploration
+from usagelens.schemas import RAW_TARGET
 from usagelens.sinks import append_table, clear_dates, replace_dates, write_report, write_snapshot
 from usagelens.sources import scan_cdr, scan_predictions, scan_processed, scan_string_range
 from usagelens.storage import materialize
@@ -76,47 +76,23 @@ def run(
     return train_churn(spark, ranges, table, predictions, **options)
 
 
-def explore(df: DataFrame) -> dict[str, DataFrame]:
-    """Every profile of processed records, by name. The frames are lazy.
+def explore_raw(df: DataFrame, start: str, end: str, column: str = "DP_DATE") -> Exploration:
+    """Fit of the churn label against every usable raw column in a text date range.
 
-    Dropping sparse columns and finding the best-correlated column each run one
-    aggregate at once. Where a column to be scaled is sparse itself, all columns stay.
+    Finding the usable columns runs one aggregate; a profile is made when it is asked for.
     """
-    top = profile.top_correlated(df).first()
-    measures = [TARGET, "M_Data_Sum", "M_Data_Count"]
-    dense = nulls.drop_sparse_columns(df, 0.6)
-    scaled = distribution.min_max_scale(dense if set(measures) <= set(dense.columns) else df, measures)
-    scaled_log = scaled.withColumn("log_transformed", F.log1p("scaled_M_Data_Sum"))
-    found = {
-        "class_summary": profile.class_summary(df),
-        "profile": profile.profile(df),
-        "null_counts": profile.null_counts(df),
-        "class_counts": summary.class_counts(df),
-        "moments": profile.moments(df, "M_Data_Sum"),
-        "correlations": profile.target_correlations(df),
-        "scaled": scaled,
-        "scaled_moments": profile.moments(scaled, "scaled_M_Data_Sum"),
-        "reflected": distribution.reflect_transform(scaled, "scaled_M_Data_Sum"),
-        "histogram": distribution.histogram(scaled_log, "log_transformed"),
-        "density": distribution.kde(scaled_log, "log_transformed"),
-    }
-    if top is not None:
-        found["log_profile"] = distribution.log_profile(df, top["feature"])
-    return found
-
-
-def explore_raw(df: DataFrame, start: str, end: str, column: str = "DP_DATE") -> dict[str, DataFrame]:
-    """Fit of the churn label against every usable raw column in a text date range."""
     numbers = nulls.drop_all_null_columns(
         nulls.coerce_numeric(scan_string_range(df, column, start, end))
     )
     if RAW_TARGET not in numbers.columns:
         raise ValueError(f"{RAW_TARGET} has no numeric value in the range")
-    return {
-        "r2": profile.r2_vs_target(numbers),
-        "regression": profile.regression_vs_target(numbers),
-        "describe": profile.describe(numbers),
-    }
+    return Exploration(
+        {
+            "r2": lambda: profile.r2_vs_target(numbers),
+            "regression": lambda: profile.regression_vs_target(numbers),
+            "describe": lambda: profile.describe(numbers),
+        }
+    )
 
 
 def monitoring_report(spark: SparkSession, source, path: str | None = None, by="day") -> DataFrame:

@@ -1,5 +1,6 @@
 """The same results as SQL over the given tables, by query name."""
 
+from usagelens.operators.sampling import poisson_steps
 from usagelens.schemas import RAW_MEASURES, STAT_COLUMNS
 from usagelens.sources.files import MISSING_TEXTS
 
@@ -315,6 +316,93 @@ def report(judged: str, reference: str, chunks: str = BY_DAY) -> str:
     )
 
 
+def exploration() -> str:
+    """Every part of the exploration as (part, key, value, text)."""
+    numeric = [c for c in PROCESSED if c not in ("Date", "User")]
+    scaled = ["M_Tenure_Churn", "M_Data_Sum", "M_Data_Count"]
+    made = []
+
+    def add(part, key, value, source, text="NULL", where="true", group=""):
+        made.append(
+            f"""SELECT '{part}' AS part, {key} AS "key", round(({value})::DOUBLE, 4) AS "value",
+                {text}::VARCHAR AS "text" FROM {source} WHERE {where} {group}"""
+        )
+
+    kind = '"M_Tenure_Churn"::DOUBLE::VARCHAR'
+    for c in PROCESSED[:-1]:
+        is_text = c in ("Date", "User")
+        x = f'TRY_CAST("{c}" AS DOUBLE)' if is_text else f'"{c}"::DOUBLE'
+        stats = {
+            "sum": f"sum({x})",
+            "avg": f"avg({x})",
+            "count": f'count("{c}")',
+            "variance": f"var_samp({x})",
+            "skewness": skew(x),
+        }
+        for name, value in stats.items():
+            add("class_summary", f"{kind} || '/{c}/{name}'", value, "filled", group='GROUP BY "M_Tenure_Churn"')
+        for end in ("min", "max"):
+            value, text = ("NULL", f'{end}("{c}")') if is_text else (f"{end}({x})", "NULL")
+            add("class_summary", f"{kind} || '/{c}/{end}'", value, "filled", text, group='GROUP BY "M_Tenure_Churn"')
+    add("profile", "'record_count'", "count(*)", "filled")
+    add("profile", "'distinct_subscribers'", 'count(DISTINCT "User")', "filled")
+    for c in PROCESSED:
+        add("null_counts", f"'{c}'", f'count(*) - count("{c}")', "filled")
+    add("class_counts", kind, "count(*)", "filled", group='GROUP BY "M_Tenure_Churn"')
+    for part, source in (("moments", "filled"), ("scaled_moments", "scaled_rows")):
+        x = '"M_Data_Sum"'
+        add(part, "'skewness'", centred_skew(x, source, "true"), "(SELECT 1)")
+        add(part, "'mean'", f"avg({x})", source)
+        add(part, "'stddev'", f"stddev_samp({x})", source)
+    for c in numeric[:-1]:
+        add("correlations", f"'{c}'", "correlation", "correlated", where=f"feature = '{c}'")
+    row = """"Date" || '/' || "User" || '/"""
+    for c in scaled:
+        add("scaled", f"{row}{c}'", f'"{c}"', "scaled_rows")
+    add("reflected", f"{row}reflected'", '2 - "M_Data_Sum"', "scaled_rows")
+    add("reflected", f"{row}adjusted'", '1 / nullif(ln(2 - "M_Data_Sum"), 0)', "scaled_rows")
+    for name, value in (("left_edge", "lo + bin * w"), ("right_edge", "lo + (bin + 1) * w"), ("count", "coalesce(n, 0)")):
+        add("histogram", f"bin || '/{name}'", value, "binned")
+    for name, value in (("x", "place"), ("density", "density")):
+        add("density", f"point || '/{name}'", value, "dense")
+    for c in numeric[:-1]:
+        for name, value in (("n", "count(*)"), ("mean", f'avg(ln(1 + "{c}"))'), ("std", f'stddev_samp(ln(1 + "{c}"))')):
+            add(
+                "log_profile",
+                f"'{c}/{name}'",
+                value,
+                "filled",
+                where=f""""{c}" > 0""",
+                group=f"HAVING (SELECT feature FROM correlated ORDER BY correlation DESC, feature LIMIT 1) = '{c}'",
+            )
+    filled = ", ".join(f'coalesce("{c}", 0) AS "{c}"' for c in numeric)
+    ranged = ", ".join(
+        f'("{c}" - min("{c}") OVER ()) / nullif(max("{c}") OVER () - min("{c}") OVER (), 0)::DOUBLE AS "{c}"'
+        for c in scaled
+    )
+    return over(
+        "labelled",
+        union(made),
+        filled=f'SELECT "Date", "User", {filled} FROM labelled',
+        correlated=f"""SELECT * FROM ({correlations("filled")})
+                       WHERE correlation IS NOT NULL AND NOT isnan(correlation)""",
+        scaled_rows=f'SELECT "Date", "User", {ranged} FROM filled',
+        source='SELECT ln(1 + "M_Data_Sum") AS x FROM scaled_rows',
+        spread="SELECT min(x) AS lo, (max(x) - min(x)) / 30 AS w FROM source",
+        binned="""SELECT bin, lo, w, n FROM spread CROSS JOIN (SELECT unnest(range(30))::INTEGER AS bin)
+                  LEFT JOIN (SELECT least(floor((x - lo) / w), 29)::INTEGER AS b, count(*) AS n
+                             FROM source, spread GROUP BY 1) ON b = bin""",
+        dense="""SELECT point, any_value(place) AS place,
+                        sum(n * exp(-0.5 * ((place - x) / h) ** 2)) / any_value(total * h * sqrt(2 * pi())) AS density
+                 FROM (SELECT x, count(*) AS n FROM source GROUP BY 1),
+                      (SELECT point, lo + point * (hi - lo) / 199 AS place, total, std * total ** -0.2 AS h
+                       FROM (SELECT unnest(range(200))::INTEGER AS point),
+                            (SELECT min(x) AS lo, max(x) AS hi, count(*)::DOUBLE AS total,
+                                    stddev_samp(x) AS std FROM source))
+                 GROUP BY point""",
+    )
+
+
 PREDICTION_ROWS = (
     '"Date", "User", label, prediction, round(probability_0, 6) AS probability_0,'
     " round(probability_1, 6) AS probability_1"
@@ -437,6 +525,18 @@ ORACLES = {
         """SELECT count(*) AS record_count, count(DISTINCT "User") AS distinct_subscribers
            FROM processed""",
     ),
+    "subscriber_sketches": over(
+        "processed",
+        union(
+            f"""SELECT '{name}' AS days, count(*) AS record_count, count(DISTINCT "User") AS exact_subscribers,
+                true AS near FROM processed WHERE {where}"""
+            for name, where in (
+                ("all", "true"),
+                ("middle", f""""Date" BETWEEN '{START}' AND '{END}'"""),
+                ("first", """"Date" <= '2024-01-03'"""),
+            )
+        ),
+    ),
     "null_counts": over(
         "processed",
         "SELECT " + ", ".join(f'count(*) - count("{c}") AS "{c}"' for c in PROCESSED) + " FROM processed",
@@ -447,14 +547,7 @@ ORACLES = {
             round(avg("M_Data_Sum"), 6) AS mean, round(stddev_samp("M_Data_Sum"), 6) AS stddev
             FROM processed""",
     ),
-    "explore_job": over(
-        "labelled",
-        f"""SELECT round({centred_skew("x", "scaled", "x IS NOT NULL")}, 6) AS skewness,
-            round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS stddev FROM scaled""",
-        filled='SELECT coalesce("M_Data_Sum", 0) AS total FROM labelled',
-        scaled="""SELECT (total - low) / (high - low) AS x
-                  FROM filled, (SELECT min(total) AS low, max(total) AS high FROM filled)""",
-    ),
+    "explore_job": exploration(),
     "sum_by_date": over(
         "cdr",
         "SELECT DP_DATE, "
@@ -546,6 +639,25 @@ ORACLES = {
            GROUP BY point""",
         source='SELECT ln(1 + "M_Data_Sum") AS x FROM processed WHERE "M_Data_Sum" > 0',
     ),
+    "kde_density_binned": over(
+        "processed",
+        """SELECT point, round(lo + point * (hi - lo) / 199, 6) AS x,
+                  round(sum(w * exp(-0.5 * u ** 2)) FILTER (reached)
+                        / any_value(total * h * sqrt(2 * pi())), 6) AS density,
+                  round((pow((hi - lo) / 511 / h, 2) / 8 + exp(-18)) / (h * sqrt(2 * pi())), 6) AS error_bound
+           FROM (SELECT *, (lo + point * (hi - lo) / 199 - (lo + bin * (hi - lo) / 511)) / h AS u,
+                        abs(lo + point * (hi - lo) / 199 - (lo + bin * (hi - lo) / 511)) <= 6 * h AS reached
+                 FROM (SELECT unnest(range(200))::INTEGER AS point), shape, weights)
+           GROUP BY point, lo, hi, h""",
+        source='SELECT ln(1 + "M_Data_Sum") AS x FROM processed WHERE "M_Data_Sum" > 0',
+        shape="""SELECT min(x) AS lo, max(x) AS hi, count(*)::DOUBLE AS total,
+                        stddev_samp(x) * count(*)::DOUBLE ** -0.2 AS h FROM source""",
+        placed="""SELECT (x - lo) / ((hi - lo) / 511) AS p, least(floor((x - lo) / ((hi - lo) / 511)), 510) AS b
+                  FROM source, shape""",
+        weights="""SELECT bin, sum(w) AS w
+                   FROM (SELECT b AS bin, 1 - (p - b) AS w FROM placed UNION ALL SELECT b + 1, p - b FROM placed)
+                   GROUP BY bin""",
+    ),
     "log_profile": over(
         "processed",
         """SELECT count(*) AS n, round(avg(ln(1 + "M_Data_Sum")), 6) AS mean,
@@ -621,6 +733,15 @@ ORACLES = {
            true AS auc_is_share FROM processed""",
     ),
     "oversample": over(
+        "labelled",
+        f"""SELECT "Date", "User", "M_Tenure_Churn" AS label, CASE WHEN "M_Tenure_Churn" = 0 THEN 1
+                   ELSE len(list_filter({poisson_steps(20.0)}, lambda step: step <= u)) END AS copies
+            FROM (SELECT *, ('0x' || substr(md5('42|' || "Date" || '|' || "User"), 1, 13))::BIGINT::DOUBLE
+                            / 4503599627370496::DOUBLE AS u FROM labelled)
+            WHERE "M_Tenure_Churn" = 0
+                  OR len(list_filter({poisson_steps(20.0)}, lambda step: step <= u)) > 0""",
+    ),
+    "oversample_random": over(
         "labelled",
         """SELECT "M_Tenure_Churn" AS label, count(*) AS source_rows, true AS near_factor
            FROM labelled GROUP BY 1""",

@@ -19,7 +19,15 @@ from usagelens.operators import (
     summary,
     transform,
 )
-from usagelens.plans import DateRanges, explore, explore_raw, monitoring_report, prepare, run, train_churn
+from usagelens.plans import (
+    DateRanges,
+    exploration_report,
+    explore_raw,
+    monitoring_report,
+    prepare,
+    run,
+    train_churn,
+)
 from usagelens.registry import inputs
 from usagelens.sources import files
 from usagelens.storage import materialize, scratch_path
@@ -163,9 +171,11 @@ def csv_quoted_roundtrip(spark, sf):
 
 @query
 def seed_scan(spark, sf):
-    """Taken from a written table, as rows found by a shuffle can come in another order."""
-    rows = materialize(inputs.cdr(spark, sf), "cdr")
-    seeds = sources.seed_rows(rows, 2000)
+    """Taken from a written table, of which only the first files are read."""
+    path = scratch_path(spark, "cdr")
+    inputs.cdr(spark, sf).write.parquet(path)
+    rows = spark.read.parquet(path)
+    seeds = sources.scan_seed(spark, path, 2000)
     known = seeds.join(rows.select("id"), "id", "left_semi").agg(F.count(F.lit(1)).alias("n_known"))
     counts = seeds.agg(F.count("DP_DATE").alias("n_rows"), F.count_distinct("id").alias("n_ids"))
     return counts.crossJoin(F.broadcast(known))
@@ -340,6 +350,23 @@ def record_profile(spark, sf):
     return profile.profile(inputs.processed(spark, sf))
 
 
+@query
+def subscriber_sketches(spark, sf):
+    """Subscribers of three ranges of days from one table of daily sketches, and whether they are near."""
+    rows = inputs.processed(spark, sf)
+    sketches = materialize(profile.subscriber_sketches(rows), "sketches")
+    ranges = {"all": (None, None), "middle": (START, END), "first": (None, "2024-01-03")}
+    found = []
+    for name, (start, end) in ranges.items():
+        inside = F.lit(True) if start is None else F.col("Date") >= start
+        inside = inside if end is None else inside & (F.col("Date") <= end)
+        exact = rows.where(inside).agg(F.count_distinct("User").alias("exact_subscribers"))
+        about = profile.subscribers_between(sketches, start, end).crossJoin(F.broadcast(exact))
+        near = F.abs(F.col("distinct_subscribers") / F.col("exact_subscribers") - 1) <= 0.04
+        found.append(about.select(F.lit(name).alias("days"), "record_count", "exact_subscribers", near.alias("near")))
+    return sources.union_all(*found)
+
+
 @query
 def null_counts(spark, sf):
     return profile.null_counts(inputs.processed(spark, sf))
@@ -430,11 +457,17 @@ def log_profile(spark, sf):
     return rounded(distribution.log_profile(inputs.processed(spark, sf), "M_Data_Sum"))
 
 
+@query
+def kde_density_binned(spark, sf):
+    rows = distribution.positive_log(inputs.processed(spark, sf), "M_Data_Sum")
+    return rounded(distribution.kde_binned(rows, "log_transformed", 200, 512))
+
+
 @query
 def explore_job(spark, sf):
-    """The moments of the scaled column, as the whole exploration of filled records gives them."""
-    rows = nulls.fill_numeric(inputs.labelled(spark, sf))
-    return rounded(explore(rows)["scaled_moments"])
+    """All twelve parts of the exploration of filled records."""
+    rows = materialize(nulls.fill_numeric(inputs.labelled(spark, sf)), "filled")
+    return rounded(exploration_report(rows), 4)
 
 
 # --- features and transforms -------------------------------------------------
@@ -513,6 +546,15 @@ def sample_n(spark, sf):
 
 @query
 def oversample(spark, sf):
+    """Every drawn row, with the number of its copies, which follow from date and subscriber."""
+    rows = inputs.labelled(spark, sf).withColumnRenamed("M_Tenure_Churn", "label")
+    drawn = sampling.oversample(rows.select("Date", "User", "label"), key=["Date", "User"])
+    return drawn.groupBy("Date", "User", "label").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query
+def oversample_random(spark, sf):
+    """Random draws of about 20 times the rows of class 1."""
     rows = materialize(
         inputs.labelled(spark, sf).withColumnRenamed("M_Tenure_Churn", "label"), "labelled"
     )
@@ -574,7 +616,7 @@ def churn_predictions(spark, sf):
     share = TRAIN_ROWS / max(1, train_part.count())
     train_part = train_part.where(F.pmod(F.xxhash64("key"), F.lit(1000)) < share * 1000)
     balanced = materialize(sampling.oversample_exact(train_part, "label", 20).drop("copy"), "train")
-    fitted = model.train(model.assemble(balanced))
+    fitted = model.train(model.assemble(balanced), fold_by=["Date", "User"])
     flat = model.flatten_predictions(model.score(fitted, model.assemble(test_part)))
     higher = (F.col("probability_1") > F.col("probability_0")).cast("double")
     return flat.select(

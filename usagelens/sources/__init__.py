@@ -5,6 +5,7 @@ from usagelens.sources.tables import (
     scan_cdr,
     scan_predictions,
     scan_processed,
+    scan_seed,
     scan_snapshots,
     scan_string_range,
     seed_rows,
@@ -19,6 +20,7 @@ __all__ = [
     "scan_cdr",
     "scan_predictions",
     "scan_processed",
+    "scan_seed",
     "scan_snapshots",
     "scan_string_range",
     "seed_rows",

@@ -1,13 +1,16 @@
 """Scans of usage-record, processed and prediction tables."""
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions import day_range
 from usagelens.schemas import PREDICTION_COLUMNS, PROCESSED_SCHEMA
 from usagelens.sources.jdbc import JdbcSource
+from usagelens.storage import scratch_path
 
 
 def read_source(spark: SparkSession, source, schema=None) -> DataFrame:
@@ -64,21 +67,49 @@ def union_all(*frames: DataFrame) -> DataFrame:
 def seed_rows(df: DataFrame, n: int = 10_000) -> DataFrame:
     """Any ``n`` rows, or all if fewer, with ``DP_DATE`` parsed to a timestamp.
 
-    Takes whole partitions until they hold ``n`` rows and a part of the last one: only
-    sizes of partitions are gathered, and no rows move. The frame must come out the same
-    each time it is read. Runs at once.
+    The frame is written first, as it may come out in another order each time it is read;
+    ``scan_seed`` takes rows of a Parquet table as it lies. Runs at once.
     """
-    place, part = F.monotonically_increasing_id(), F.spark_partition_id()
-    rows = df.select("*", place.alias("seed_place"), part.alias("seed_part"))
-    sizes = rows.groupBy("seed_part").agg(F.count(F.lit(1)).alias("size"))
-    earlier = Window.orderBy("seed_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition.
-    room = sizes.select("seed_part", (n - F.coalesce(F.sum("size").over(earlier), F.lit(0))).alias("room"))
-    taken = {r["seed_part"]: r["room"] for r in room.where("room > 0").collect()}
-    last = max(taken, default=0)
-    first = (F.col("seed_part") < last) | (
-        (F.col("seed_part") == last)
-        & (F.col("seed_place") - F.shiftleft(F.lit(last).cast("long"), 33) < taken.get(last, 0))
-    )
-    kept = rows.where(first).drop("seed_place", "seed_part")
-    return kept.withColumn("DP_DATE", F.col("DP_DATE").try_cast("timestamp"))
+    path = scratch_path(df.sparkSession, "seeds")
+    df.write.parquet(path)
+    return scan_seed(df.sparkSession, path, n, df.schema)
+
+
+def scan_seed(spark: SparkSession, path: str, n: int = 10_000, schema=None) -> DataFrame:
+    """Any ``n`` rows of a Parquet table, or all if fewer, with ``DP_DATE`` parsed to a timestamp.
+
+    Files are taken in the order of their names until they hold ``n`` rows, and only the last
+    one is cut. Their numbers of rows come from the footers, of twice as many files each time, so
+    neither data nor footers of the other files are read. Runs at once.
+    """
+    table = read_source(spark, path, schema)
+    files = sorted(table.inputFiles())
+
+    def of(paths):
+        # The base path keeps the columns that folder names hold.
+        return spark.read.schema(table.schema).option("basePath", path).parquet(*paths)
+
+    whole, room, at, step = [], n, 0, 1
+    cut = None
+    while room > 0 and at < len(files):
+        some = files[at : at + step]
+        counts = of(some).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+        rows = {_name(r["file"]): r["rows"] for r in counts.collect()}
+        for file in some:
+            held = rows.get(_name(file), 0)
+            if held > room > 0:
+                cut = (file, room)
+            elif room > 0:
+                whole.append(file)
+            room -= held
+        at, step = at + step, step * 2
+    parts = [of(whole)] if whole else []
+    if cut:
+        parts.append(of([cut[0]]).where(F.col("_metadata.row_index") < cut[1]).select(*table.columns))
+    seeds = union_all(*parts) if parts else table.limit(0)
+    return seeds.withColumn("DP_DATE", F.col("DP_DATE").try_cast("timestamp"))
+
+
+def _name(path: str) -> str:
+    """A file's path without its scheme, which listings write in several ways."""
+    return unquote(re.sub("^[a-z0-9]+:/+", "/", path))

@@ -12,9 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from usagelens.functions import day_of
 from usagelens.operators.monitoring import (
     assign_chunks,
-    chunk_metrics,
-    label_range,
+    cell_merges,
+    cell_metrics,
     monitor,
+    score_cells,
     thresholds,
     two_classes,
     with_alerts,
@@ -22,6 +23,7 @@ from usagelens.operators.monitoring import (
 from usagelens.operators.summary import as_summary, summary_totals
 from usagelens.schemas import SUMMARY_SCHEMA
 from usagelens.sinks import read_if_present, replace_dates, write_report
+from usagelens.streaming.partials import Partials
 
 
 def _file_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int | None):
@@ -71,6 +73,23 @@ def daily_totals_stream(stream: DataFrame, column: str, watermark: str) -> DataF
     )
 
 
+def daily_partials(spark: SparkSession, checkpoint: str) -> Partials:
+    """The summary's totals per batch and day, below the checkpoint of its stream."""
+    totals = SUMMARY_SCHEMA.fieldNames()[1:]
+    return Partials(spark, f"{checkpoint}/partials", ["Date"], {c: F.sum(c) for c in totals}, "Date")
+
+
+def add_to_summary(partials: Partials, batch: DataFrame, batch_id: int, out_dir: str, column: str) -> None:
+    """Add up one batch and replace the days it touches in the summary table.
+
+    Reads the batch and earlier sums, no earlier records. Running it again changes nothing.
+    """
+    sums = batch.groupBy(day_of(batch, column).alias("Date")).agg(*summary_totals())
+    written = partials.put(sums, batch_id)
+    replace_dates(as_summary(partials.of_same_days(written)), out_dir, "Date")
+    partials.compact(batch_id, written.schema)
+
+
 def stream_daily_summary(
     spark: SparkSession,
     in_dir: str,
@@ -84,10 +103,10 @@ def stream_daily_summary(
 ) -> StreamingQuery:
     """Keep the daily summary table up to date as record files arrive.
 
-    Every day that occurs in the new files is added up again over all its records in
-    ``in_dir`` and replaced, so late files and files filled in later count in full. With a
-    ``watermark`` running totals are kept as state instead and no file is read twice;
-    records of a day that closed before the watermark are then dropped.
+    Every batch keeps its totals per day below ``checkpoint``. A day that occurs in new files becomes
+    the sum of what all batches hold of it, so late files count in full and no
+    record is read twice. With a ``watermark`` running totals are kept as state
+    instead; records of a day that closed before the watermark are then dropped.
     """
     stream = _file_stream(spark, in_dir, schema, files_per_trigger)
     if watermark:
@@ -98,18 +117,38 @@ def stream_daily_summary(
         totals = daily_totals_stream(stream, column, watermark)
         return _start(totals.writeStream.outputMode("update").foreachBatch(upsert), checkpoint, interval)
 
+    partials = daily_partials(spark, checkpoint)
+
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        touched = _of_same_days(batch, spark.read.schema(schema).parquet(in_dir), column)
-        totals = touched.groupBy(day_of(touched, column).alias("Date")).agg(*summary_totals())
-        replace_dates(as_summary(totals), out_dir, "Date")
+        add_to_summary(partials, batch, batch_id, out_dir, column)
 
     return _start(stream.writeStream.foreachBatch(refresh), checkpoint, interval)
 
 
-def _of_same_days(batch: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """Rows of ``table`` on the calendar days that occur in ``batch``."""
-    days = batch.select(day_of(batch, column).alias("touched_day")).distinct()
-    return table.join(days, day_of(table, column).eqNullSafe(F.col("touched_day")), "left_semi")
+def score_partials(spark: SparkSession, checkpoint: str) -> Partials:
+    """Counts per batch, day and score, below the checkpoint of the monitoring stream."""
+    return Partials(spark, f"{checkpoint}/partials", ["chunk", "score"], cell_merges(), "chunk")
+
+
+def add_to_monitoring(partials: Partials, batch: DataFrame, batch_id: int, out_dir: str) -> None:
+    """Count one batch of predictions and renew the metrics of its days, the bounds and the report.
+
+    Reads the batch and earlier counts, no earlier predictions. Running it again changes nothing.
+    """
+    spark = batch.sparkSession
+    cells = score_cells(assign_chunks(batch, "day"))
+    written = partials.put(cells, batch_id)
+    metrics_dir = f"{out_dir}/metrics"
+    measured = cell_metrics(partials.of_same_days(written))
+    replace_dates(measured, metrics_dir, "chunk")
+    partials.compact(batch_id, written.schema)
+    known = read_if_present(spark, metrics_dir, measured.schema)
+    if known is None:
+        return
+    ranges = known.agg(F.min("label_low").alias("label_low"), F.max("label_high").alias("label_high"))
+    usable = ranges.select(two_classes().alias("usable")).scalar()
+    plain = known.drop("label_low", "label_high")
+    write_report(with_alerts(plain, thresholds(plain)).where(usable), f"{out_dir}/report")
 
 
 def monitor_stream(
@@ -125,31 +164,21 @@ def monitor_stream(
 ) -> StreamingQuery:
     """Refresh the monitoring report whenever prediction files arrive.
 
-    Only days that occur in the new files are measured again, over all their rows
-    in ``pred_dir``; the metrics of other days are kept in ``out_dir/metrics``.
+    Every batch keeps its counts per day and score below ``checkpoint``, from which all metrics
+    follow; days that occur in new files are measured again from the counts of all
+    batches, and no prediction is read twice. Metrics of all days lie in ``out_dir/metrics``.
     Bounds and alerts come from all days and go to ``out_dir/report`` as CSV, which is
     empty while all rows have one class. New rows move every chunk by count, so with
     ``by=n`` all rows are measured again.
     """
-    metrics_dir, report_dir = f"{out_dir}/metrics", f"{out_dir}/report"
+    partials = score_partials(spark, checkpoint)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        table = spark.read.schema(schema).parquet(pred_dir)
-        if by != "day":
-            write_report(monitor(table, by=by, tiebreak=tiebreak), report_dir)
-            return
-        chunks = assign_chunks(_of_same_days(batch, table, "Date"), "day")
-        classes = chunks.groupBy(F.col("chunk").alias("of_chunk")).agg(*label_range())
-        measured = chunk_metrics(chunks).join(classes, F.col("chunk").eqNullSafe(F.col("of_chunk")))
-        measured = measured.drop("of_chunk")
-        replace_dates(measured, metrics_dir, "chunk")
-        known = read_if_present(spark, metrics_dir, measured.schema)
-        if known is None:
-            return
-        ranges = known.agg(F.min("label_low").alias("label_low"), F.max("label_high").alias("label_high"))
-        usable = ranges.select(two_classes().alias("usable")).scalar()
-        plain = known.drop("label_low", "label_high")
-        write_report(with_alerts(plain, thresholds(plain)).where(usable), report_dir)
+        if by == "day":
+            add_to_monitoring(partials, batch, batch_id, out_dir)
+        else:
+            table = spark.read.schema(schema).parquet(pred_dir)
+            write_report(monitor(table, by=by, tiebreak=tiebreak), f"{out_dir}/report")
 
     stream = _file_stream(spark, pred_dir, schema, files_per_trigger)
     return _start(stream.writeStream.foreachBatch(refresh), checkpoint, interval)
