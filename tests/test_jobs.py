@@ -1,16 +1,20 @@
 import datetime
+import pathlib
+import time
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from usagelens import plans, sinks, sources
-from usagelens.operators import features, model, sampling, summary
+from usagelens.operators import features, model, profile, sampling, summary
 from usagelens.operators.monitoring import monitor
 from usagelens.operators.transform import augment
 from usagelens.registry import inputs, queries
-from usagelens.schemas import PROCESSED_SCHEMA, SUMMARY_SCHEMA
+from usagelens.schemas import PROCESSED_SCHEMA, SUMMARY_SCHEMA, TARGET
 from usagelens.storage import materialize, scratch_path
 from usagelens.streaming import ingest_stream, monitor_stream, stream_daily_summary
+from usagelens.streaming.jobs import add_to_summary, daily_partials
 
 SMALL = {"trees": (3,), "depths": (3,), "folds": 2}
 
@@ -32,6 +36,52 @@ def test_oversampling(spark):
     assert {r["label"]: r["count"] for r in exact} == {0: 1800, 1: 4000}
 
 
+def test_copies_follow_from_the_key(spark):
+    df = spark.range(3000).withColumn("label", (F.col("id") % 3 == 0).cast("int")).withColumn("copy", F.lit("x"))
+    first, second = (
+        sampling.oversample(rows, factor=4, key=["id"]).groupBy("id").count().collect()
+        for rows in (df.repartition(3), df.orderBy(F.desc("id")).repartition(7, "label"))
+    )
+    assert sorted(first) == sorted(second)
+    copies = [r["count"] for r in first if r["id"] % 3 == 0]
+    assert {r["count"] for r in first if r["id"] % 3} == {1} and len(first) - len(copies) == 2000
+    # Mean and variance of Poisson(4) over 1000 keys, within five standard errors; none for 1 key in 55.
+    counts = copies + [0] * (1000 - len(copies))
+    mean = sum(counts) / 1000
+    assert abs(mean - 4) < 5 * (4 / 1000) ** 0.5 and 3 < sum((c - mean) ** 2 for c in counts) / 999 < 5
+    assert sampling.oversample(df, factor=4, key=["id"]).columns == df.columns
+    other = sampling.oversample(df, factor=4, seed=7, key=["id"]).groupBy("id").count().collect()
+    assert sorted(other) != sorted(first)
+
+
+def test_poisson_steps():
+    steps = sampling.poisson_steps(20.0)
+    assert steps[0] == pytest.approx(2.0611536e-09) and steps[20] == pytest.approx(0.559093, abs=1e-6)
+    assert all(a <= b for a, b in zip(steps, steps[1:])) and 1 - steps[-1] < 1e-12
+
+
+def test_no_key_crosses_folds(spark, monkeypatch):
+    seen = []
+
+    def fit(search, df):
+        seen.append((search.getFoldCol(), search.getNumFolds(), df))
+
+    monkeypatch.setattr(model.CrossValidator, "fit", fit)
+    rows = spark.range(600).select(
+        (F.col("id") % 200).alias("key"), (F.col("id") % 2).alias("label"), F.col("id").cast("double").alias("x")
+    )
+    assembled = model.assemble(rows, ["x"])
+    model.train(assembled, fold_by=["key"])
+    ((column, folds, df),) = seen
+    assert (column, folds) == ("fold", 3)
+    # Rows with one key differ by 200 in x.
+    by_key = df.select(vector_to_array("features")[0].cast("long").alias("x"), "fold").collect()
+    of = {}
+    for r in by_key:
+        assert of.setdefault(r["x"] % 200, r["fold"]) == r["fold"]
+    assert set(of.values()) == {0, 1, 2}
+
+
 def test_splits_are_disjoint_and_complete(spark):
     df = materialize(spark.range(3000), "range")
     for train, test in (sampling.random_split(df), sampling.split_by_key(df)):
@@ -86,13 +136,53 @@ def test_prepare_train_monitor(spark, sf, tmp_path):
 
 
 def test_explore(spark, sf):
-    found = plans.explore(materialize(inputs.labelled(spark, sf), "labelled"))
+    rows = materialize(inputs.labelled(spark, sf), "labelled")
+    began = time.perf_counter()
+    found = plans.explore(rows)
+    assert len(found) == 12 and time.perf_counter() - began < 2
+    assert found["density"] is found["density"]
     assert found["histogram"].agg(F.sum("count")).first()[0] > 0
     assert {name for name, df in found.items() if df.isEmpty()} == set()
     raw = plans.explore_raw(inputs.cdr_text(spark, sf), "2024-01-01", "2024-01-25")
     assert {name: df.count() for name, df in raw.items()} == {"r2": 10, "regression": 10, "describe": 11}
 
 
+def test_exploration_report_agrees_with_the_parts(spark, sf):
+    """With NULLs left in, merged statistics are those of the operators; parts share three aggregates."""
+    rows = materialize(inputs.labelled(spark, sf), "labelled")
+    found = plans.explore(rows)
+    report = plans.exploration_report(rows)
+    assert {r.part for r in report.select("part").distinct().collect()} == set(found)
+    value = {(r.part, r.key): r.text if r.value is None else r.value for r in report.collect()}
+    top = found["log_profile"].first()
+    assert value["log_profile", f"{profile.top_correlated(rows).first()['feature']}/n"] == top["n"]
+    for row in found["correlations"].collect():
+        assert value["correlations", row["feature"]] == pytest.approx(row["correlation"], abs=1e-9)
+    for part in ("moments", "scaled_moments"):
+        for name, want in found[part].first().asDict().items():
+            assert value[part, name] == pytest.approx(want, rel=1e-9)
+    for name, want in found["null_counts"].first().asDict().items():
+        assert value["null_counts", name] == want
+    for row in found["class_summary"].collect():
+        for name, want in row.asDict().items():
+            if name != TARGET:
+                key = f"{float(row[TARGET])}/" + "/".join(name.rsplit("_", 1))
+                got = value["class_summary", key]
+                assert got == want if want is None or isinstance(want, str) else got == pytest.approx(want, rel=1e-9)
+    for part, key, columns in (("histogram", "bin", ["left_edge", "count"]), ("density", "point", ["x", "density"])):
+        for row in found[part].collect():
+            for c in columns:
+                assert value[part, f"{row[key]}/{c}"] == pytest.approx(row[c], rel=1e-9)
+
+
+@pytest.mark.parametrize("rows", [0, 1])
+def test_exploration_of_hardly_any_rows(spark, sf, rows):
+    df = materialize(inputs.labelled(spark, sf).limit(rows), "few")
+    report = plans.exploration_report(df)
+    sizes = {r.key: r.value for r in report.where("part = 'profile'").collect()}
+    assert sizes.get("record_count", 0) == sizes.get("distinct_subscribers", 0) == rows
+
+
 def stream_dirs(spark):
     return [scratch_path(spark, name) for name in ("in", "out", "state")]
 
@@ -136,6 +226,88 @@ def test_late_records(spark, watermark, first):
     assert got == {"2024-01-01": first, "2024-01-02": 3}
 
 
+def files_of(folder):
+    return {p for p in pathlib.Path(folder).glob("*.parquet")}
+
+
+def test_no_record_is_read_twice(spark):
+    """Records of earlier batches are gone when later ones arrive, and still count."""
+    folder, out, state = stream_dirs(spark)
+    for calls in (1, 10, 100):
+        batch = usage(spark, [("2024-01-01 12:00:00", calls), (f"2024-01-0{len(str(calls)) + 1} 12:00:00", calls)])
+        batch.coalesce(1).write.mode("append").parquet(folder)
+        stream_daily_summary(spark, folder, out, state, batch.schema, "DP_TS").awaitTermination()
+        for path in files_of(folder):
+            path.write_bytes(b"")
+    found = sinks.read_if_present(spark, out, SUMMARY_SCHEMA).collect()
+    assert {str(r["Date"])[-2:]: r["Total_Outgoing_Calls"] for r in found} == {"01": 111, "02": 1, "03": 10, "04": 100}
+
+
+def test_replayed_batches_count_once(spark):
+    _, out, state = stream_dirs(spark)
+    partials = daily_partials(spark, state)
+    for batch_id, calls in ((0, 1), (1, 10), (1, 10), (2, 5), (2, 7)):
+        batch = usage(spark, [("2024-01-01 12:00:00", calls)])
+        add_to_summary(partials, batch, batch_id, out, "DP_TS")
+    (row,) = sinks.read_if_present(spark, out, SUMMARY_SCHEMA).collect()
+    assert row["Total_Outgoing_Calls"] == 18  # the last try of each batch
+
+
+def test_many_batches_are_merged(spark):
+    _, out, state = stream_dirs(spark)
+    partials = daily_partials(spark, state)
+    partials.most_folders = 3
+    for batch_id in range(9):
+        batch = usage(spark, [("2024-01-01 12:00:00", 1), (f"2024-01-{batch_id + 2:02} 12:00:00", batch_id), (None, 1)])
+        add_to_summary(partials, batch.coalesce(1), batch_id, out, "DP_TS")
+    names = sorted(p.name for p in pathlib.Path(f"{state}/partials").iterdir())
+    assert names[-1].startswith("upto=") and len(names) <= 5
+    found = {r["Date"]: r["Total_Outgoing_Calls"] for r in sinks.read_if_present(spark, out, SUMMARY_SCHEMA).collect()}
+    assert found[None] == 9 and found[datetime.date(2024, 1, 1)] == 9
+    assert [found[datetime.date(2024, 1, i + 2)] for i in range(9)] == list(range(9))
+
+
+def test_an_unfinished_merge_does_not_count(spark):
+    _, out, state = stream_dirs(spark)
+    partials = daily_partials(spark, state)
+    for batch_id in range(2):
+        add_to_summary(partials, usage(spark, [("2024-01-01 12:00:00", 1)]), batch_id, out, "DP_TS")
+    broken = pathlib.Path(f"{state}/partials/upto=0")
+    broken.mkdir()
+    add_to_summary(partials, usage(spark, [("2024-01-01 12:00:00", 1)]), 2, out, "DP_TS")
+    (row,) = sinks.read_if_present(spark, out, SUMMARY_SCHEMA).collect()
+    assert row["Total_Outgoing_Calls"] == 3
+
+
+def test_an_empty_batch_changes_nothing(spark):
+    _, out, state = stream_dirs(spark)
+    partials = daily_partials(spark, state)
+    batch = usage(spark, [("2024-01-01 12:00:00", 1)])
+    add_to_summary(partials, batch, 0, out, "DP_TS")
+    add_to_summary(partials, batch.limit(0), 1, out, "DP_TS")
+    (row,) = sinks.read_if_present(spark, out, SUMMARY_SCHEMA).collect()
+    assert row["Total_Outgoing_Calls"] == 1
+
+
+def test_predictions_are_not_read_twice(spark, sf):
+    """Halves of every day arrive one after the other; the first is gone when the second comes."""
+    rows = materialize(inputs.predictions(spark, sf), "predictions")
+    folder, out, state = stream_dirs(spark)
+    half = F.xxhash64("User") % 2 == 0
+    for part in (rows.where(half), rows.where(~half)):
+        part.write.mode("append").parquet(folder)
+        monitor_stream(spark, folder, out, state, rows.schema).awaitTermination()
+        for path in files_of(folder):
+            path.write_bytes(b"")
+    read = spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/report")
+    want = {str(r["chunk"]): r for r in monitor(rows).collect()}
+    got = {str(r["chunk"]): r for r in read.collect()}
+    assert set(got) == set(want)
+    for day, row in want.items():
+        for name in ("n", "roc_auc", "f1", "accuracy", "roc_auc_lower", "f1_upper"):
+            assert got[day][name] == (None if row[name] is None else pytest.approx(row[name]))
+
+
 def test_prepare_answers_for_its_own_run(spark, sf):
     ranges = plans.DateRanges("2024-01-02", "2024-01-10", "2024-01-02", "2024-01-10")
     rows = inputs.cdr(spark, sf)
@@ -191,7 +363,8 @@ def test_job_queries_search_the_whole_grid_on_all_days(spark, sf, monkeypatch, n
     monkeypatch.setattr(features, "build_features", lambda df, *a: made.append(df) or build(df, *a))
     assert queries.QUERIES[name](spark, sf).first()["rows_known"]
     ((options, n),) = searched
-    assert options == {"seed": 42}  # the defaults of the grid and the folds
+    # The defaults of the grid and the number of folds.
+    assert options == {"seed": 42, "fold_by": ["Date", "User"]}
     assert 200 < n < 400
     days = inputs.processed(spark, sf).select("Date").distinct().count()
     assert made[0].select("Date").distinct().count() == days == 30

@@ -190,3 +190,31 @@ def test_seed_rows_move_no_rows(spark):
         found = sources.seed_rows(rows, n)
         assert found.count() == min(n, 1000) and found.columns == rows.columns
         assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seed_scan_reads_the_first_files_only(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.range(0, 100, 1, 1).select(
+        "id", F.lit("2024-01-01").alias("DP_DATE"), (F.col("id") >= 80).cast("int").alias("part 1")
+    )
+    for i in range(8):
+        rows.where(F.col("id") % 8 == i).write.mode("append").partitionBy("part 1").parquet(path)
+    schema = spark.read.parquet(path).schema
+    files = sorted((tmp_path / "table").rglob("*.parquet"))
+    assert len(files) == 16
+    for file in files[4:]:
+        file.write_bytes(b"no table")
+    for n in (1, 10, 11, 25):
+        found = sources.scan_seed(spark, path, n, schema)
+        got = found.collect()
+        assert len({r["id"] for r in got}) == len(got) == n
+        assert found.columns == schema.names and {r["part 1"] for r in got} == {0}
+
+
+def test_seed_scan_of_small_and_empty_tables(spark, tmp_path):
+    rows = spark.range(0, 30, 1, 3).select("id", F.lit("2024-01-01").alias("DP_DATE"))
+    for name, df in (("small", rows), ("empty", rows.limit(0))):
+        path = str(tmp_path / name)
+        df.write.parquet(path)
+        assert sources.scan_seed(spark, path, 50).count() == df.count()
+        assert sources.scan_seed(spark, path, 0).count() == 0

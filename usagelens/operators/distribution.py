@@ -98,10 +98,10 @@ def density_shape(df: DataFrame, column: str = "x", weight: str | None = None) -
         w = F.when(x.isNotNull(), F.col(weight).cast("double"))
         n = F.coalesce(F.sum(w), F.lit(0.0))
         # Deviations from the mean need a second look at the values.
-        mean = df.agg((F.sum(w * x) / F.sum(w)).alias("mean of values"))
+        mean = df.agg(F.try_divide(F.sum(w * x), F.sum(w)).alias("mean of values"))
         df = beside(df, mean)
         away = F.col("mean of values") - x
-        std = F.when(n > 1, F.sqrt(F.sum(w * away * away) / (n - 1)))
+        std = F.when(n > 1, F.sqrt(F.try_divide(F.sum(w * away * away), n - 1)))
     shape = df.agg(F.min(x).alias("low"), F.max(x).alias("high"), n.cast("double").alias("total"), std.alias("std"))
     return shape.select("low", "high", "total", (F.col("std") * F.pow("total", F.lit(-0.2))).alias("h"))
 
@@ -174,12 +174,12 @@ def kde_binned(df: DataFrame, column: str, grid: int = 200, bins: int = 2048, re
     )
     weights = sums.select(F.inline(ends)).groupBy("bin").agg(F.sum("weight").alias("weight"))
     spots = beside(weights, shape).withColumn("spot", F.col("low") + F.col("bin") * F.col("width"))
-    low = F.ceil((F.col("spot") - reach * F.col("h") - F.col("low")) / F.col("step"))
-    high = F.floor((F.col("spot") + reach * F.col("h") - F.col("low")) / F.col("step"))
+    low = F.ceil(F.try_divide(F.col("spot") - reach * F.col("h") - F.col("low"), F.col("step")))
+    high = F.floor(F.try_divide(F.col("spot") + reach * F.col("h") - F.col("low"), F.col("step")))
     near = F.sequence(F.greatest(low, F.lit(0)).cast("int"), F.least(high, F.lit(grid - 1)).cast("int"))
     met = spots.where((F.col("step") > 0) & (F.greatest(low, F.lit(0)) <= F.least(high, F.lit(grid - 1))))
     met = met.select("spot", "weight", "h", "low", "step", F.explode(near).alias("point"))
-    u = (F.col("low") + F.col("point") * F.col("step") - F.col("spot")) / F.col("h")
+    u = F.try_divide(F.col("low") + F.col("point") * F.col("step") - F.col("spot"), F.col("h"))
     mass = met.groupBy("point").agg(F.sum(F.col("weight") * F.exp(-0.5 * u * u)).alias("mass"))
     every = df.sparkSession.range(grid).select(F.col("id").cast("int").alias("point")).join(mass, "point", "left")
     peak = F.try_divide(F.lit(1.0), F.col("h") * sqrt(2 * pi))

@@ -103,8 +103,8 @@ def text_statistics(counted: DataFrame, keys: list[str]) -> DataFrame:
         "min",
         "max",
         "count",
-        F.when(total > 1, m2 / (total - 1)).alias("variance"),
-        F.try_divide(F.col("m3") / total, F.pow(m2 / total, F.lit(1.5))).alias("skewness"),
+        F.when(total > 1, F.try_divide(m2, total - 1)).alias("variance"),
+        F.try_divide(F.try_divide("m3", total), F.pow(F.try_divide(m2, total), F.lit(1.5))).alias("skewness"),
     )
 
 

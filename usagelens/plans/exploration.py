@@ -162,7 +162,7 @@ def _together(by_column: DataFrame) -> DataFrame:
     )
 
     def deviation(m2, n):
-        return F.when(F.col(n) > 1, F.sqrt(F.col(m2) / (F.col(n) - 1)))
+        return F.when(F.col(n) > 1, F.sqrt(F.try_divide(F.col(m2), F.col(n) - 1)))
 
     return total.select(
         "column",
@@ -172,7 +172,9 @@ def _together(by_column: DataFrame) -> DataFrame:
         "max",
         "mean",
         deviation("m2", "n").alias("stddev"),
-        F.try_divide(F.col("m3") / F.col("n"), F.pow(F.col("m2") / F.col("n"), F.lit(1.5))).alias("skewness"),
+        F.try_divide(
+            F.try_divide("m3", "n"), F.pow(F.try_divide("m2", "n"), F.lit(1.5))
+        ).alias("skewness"),
         "log_n",
         "log_mean",
         deviation("log_m2", "log_n").alias("log_std"),
@@ -254,8 +256,8 @@ def exploration_report(df: DataFrame, target: str = TARGET, user: str = "User")
             [],
             {
                 "skewness": F.col("skewness"),
-                "mean": (F.col("mean") - F.col("min")) / width,
-                "stddev": F.col("stddev") / width,
+                "mean": F.try_divide(F.col("mean") - F.col("min"), width),
+                "stddev": F.try_divide(F.col("stddev"), width),
             },
         ),
         _long(rows, "reflected", row_key, {"reflected": reflected, "adjusted": F.try_divide(F.lit(1.0), F.log(reflected))}),

@@ -83,7 +83,8 @@ def scan_seed(spark: SparkSession, path: str, n: int = 10_000, schema=None) -> D
     neither data nor footers of the other files are read. Runs at once.
     """
     table = read_source(spark, path, schema)
-    files = sorted(table.inputFiles())
+    # Listed names are escaped as in a URL.
+    files = sorted(unquote(f) for f in table.inputFiles())
 
     def of(paths):
         # The base path keeps the columns that folder names hold.
