@@ -37,6 +37,37 @@ def test_escape_is_reversible_and_leaves_no_control_string():
             assert not any(c in made for c in CONTROL)
 
 
+def flattened(texts, role="assistant"):
+    parts = [{"type": "text", "text": t} for t in texts]
+    return chat.Flattener().turn(role, parts)
+
+
+def test_control_strings_cut_between_text_parts():
+    """Every control string, and the template's own, cut at every place and at every two places."""
+    strings = [*CONTROL, chat.TURN, chat.SAID, chat.END, "\\<|end|>", "<|image:0|>", chat.END + chat.TURN + "user" + chat.SAID]
+    for whole in strings:
+        for i in range(len(whole) + 1):
+            for j in range(i, len(whole) + 1):
+                texts = ["x" + whole[:i], whole[i:j], whole[j:] + "y"]
+                turn = flattened(texts)
+                assert chat.read_back(turn["formatted"]) == [("assistant", f"x{whole}y")]
+                inside = turn["formatted"][len(chat.TURN + "assistant" + chat.SAID) : -len(chat.END)]
+                assert not any(c in inside for c in CONTROL)
+                spans = [turn["formatted"][s["start"] :][: s["length"]] for s in turn["loss"]]
+                assert "".join(spans) == inside and chat.unescape("".join(spans)) == f"x{whole}y"
+                assert len(spans) == 2 + (j > i)
+
+
+def test_texts_around_attachments_and_empty_texts():
+    image = {"type": "image", "ref": "r", "width": 28, "height": 28}
+    texts = ["<", None, "|end|>", "", "["]
+    parts = [{"type": "text", "text": t} for t in texts] + [image, {"type": "text", "text": "INST]"}]
+    turn = chat.Flattener().turn("user", parts)
+    assert chat.read_back(turn["formatted"]) == [("user", "<|end|>[INST]")]
+    assert "[INST]" not in turn["formatted"] and turn["formatted"].count(chat.END) == 1
+    assert turn["loss"] == []
+
+
 def test_formatted_text_reads_back(spark):
     found = {}
     for r in chat.format_conversations(table(spark)).orderBy("conv_id", "position").collect():

@@ -12,8 +12,10 @@ conversation of any length needs the memory of one turn.
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 from math import ceil
 from typing import NamedTuple
 
@@ -51,6 +53,24 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+def escape_parts(texts: list[str]) -> list[str]:
+    """The texts escaped such that, one after another, they are the escaped whole.
+
+    A control string can begin in one text and end in a later one, so what is escaped is the
+    whole, which is then cut where the texts end.
+    """
+    whole = "".join(texts)
+    # Characters that get one more behind or before them.
+    added = sorted({m.start() for m in _CONTROL.finditer(whole)} | {m.start() for m in re.finditer(r"\\", whole)})
+    escaped, made, at, done = escape(whole), [], 0, 0
+    for text in texts:
+        at += len(text)
+        end = at + bisect_left(added, at)
+        made.append(escaped[done:end])
+        done = end
+    return made
+
+
 @dataclass(frozen=True)
 class Expansion:
     """Tokens an attachment expands to: per image patch, second of audio and document page."""
@@ -91,9 +111,14 @@ class Flattener:
         """The formatted turn, its text spans under the loss mask, and its attachments."""
         start, pieces, loss, attachments = self.at, [], [], []
         self._emit(pieces, TURN + escape(role) + SAID)
-        for part in parts:
-            visit = getattr(self, f"visit_{part['type']}", self.visit_other)
-            visit(part, pieces, loss if role in self.trained else [], attachments)
+        mask = loss if role in self.trained else []
+        # Neighbouring texts are escaped together.
+        for is_text, run in groupby(parts, key=lambda part: part["type"] == "text"):
+            run = list(run)
+            escaped = escape_parts([part["text"] or "" for part in run]) if is_text else run
+            for part in escaped:
+                visit = self.visit_text if is_text else getattr(self, f"visit_{part['type']}", self.visit_other)
+                visit(part, pieces, mask, attachments)
         self._emit(pieces, END)
         return {
             "role": role,
@@ -107,11 +132,10 @@ class Flattener:
         pieces.append(text)
         self.at += len(text)
 
-    def visit_text(self, part, pieces, loss, attachments):
-        text = escape(part["text"] or "")
-        if text:
-            loss.append({"start": self.at, "length": len(text)})
-        self._emit(pieces, text)
+    def visit_text(self, escaped, pieces, loss, attachments):
+        if escaped:
+            loss.append({"start": self.at, "length": len(escaped)})
+        self._emit(pieces, escaped)
 
     def visit_image(self, part, pieces, loss, attachments):
         kind = part["type"] if part["type"] in ("image", "audio", "document") else "other"
