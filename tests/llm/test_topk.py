@@ -55,6 +55,23 @@ def test_odd_rows(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_large_components(spark):
+    """Finite extremes neither fail nor hide others; scores beyond a long are cut."""
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.random.default_rng(3).normal(size=(60, 3)))]
+    rows += [(100, [1e17, 0.0, 0.0]), (101, [-1e17, 1.0, 0.0]), (110, [1e308, -1e308, 1e308]), (111, [2.0**30, 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, F.col("vec_id") % 10 == 0, 5, parallel=1).collect()
+    assert len(found) == 8 * 5
+    own = np.array([[max(-1e150, min(1e150, float(np.floor(1024 * x)) if abs(x) < 1e300 else x * 1e10)) for x in v] for _, v in rows[:60]])
+    for q in range(0, 60, 10):
+        got = {r["rank"]: (r.vec_id, r.score) for r in found if r.query_id == q}
+        best = sorted([(-int(s), i) for i, s in enumerate(own @ own[q]) if i != q])
+        small = [(i, -s) for s, i in best]
+        large = [v for v in got.values() if v[0] >= 100]
+        assert [v for _, v in sorted(got.items()) if v[0] < 100] == small[: 5 - len(large)]
+    assert {r.score for r in found if r.query_id == 110 and r["rank"] == 1} <= {(1 << 63) - 1}
+
+
 def test_repeated_rows(spark):
     rows = [(0, [1.0], 0), (0, [1.0], 0), (1, [2.0], 0), (1, [2.0], 0), (2, [0.5], 0)]
     found = topk.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0, k=3)

@@ -20,9 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import ship
+from usagelens.llm.vectors import as_long, scaled, usable
 
 FANOUT, LEAF = 16, 64
 SAMPLE = 256
+# Squares of larger components would leave the range of doubles.
+LARGEST = 1e150
 
 
 class Node:
@@ -87,14 +90,15 @@ class Search:
     def run(self) -> Iterator[tuple[int, int, int]]:
         self._descend(self.queries.root, [self.data.root])
         for q, i in zip(*np.nonzero(self.scores > -np.inf)):
-            yield int(self.query_ids[q]), int(self.found[q, i]), int(self.scores[q, i])
+            yield int(self.query_ids[q]), int(self.found[q, i]), as_long(self.scores[q, i])
 
     def _bounds(self, query: Node, nodes: list[Node]) -> np.ndarray:
         centres = np.stack([n.centre for n in nodes]) @ query.centre
         radii = np.array([n.radius for n in nodes])
         norms = np.array([n.norm for n in nodes])
         bounds = centres + query.norm * radii + norms * query.radius + query.radius * radii
-        return bounds + 1e-9 * np.abs(bounds) + 0.5  # for rounding; scores are whole numbers
+        # For rounding, of terms that can cancel each other; scores are whole numbers.
+        return bounds + 1e-9 * (query.norm + query.radius) * (norms + radii) + 0.5
 
     def _descend(self, query: Node, nodes: list[Node]) -> None:
         bounds = self._bounds(query, nodes)
@@ -134,14 +138,15 @@ class Search:
         self.kth[at] = np.maximum(self.floors[at], self.scores[at, -1])
 
 
-def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of every component; rows that take no part are left out."""
-    x = F.col(vector_col).cast("array<double>")
-    usable = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    whole = F.transform(x, lambda c: F.floor(c * scale).cast("double"))
-    return vectors.select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v")).where(
-        F.col("vec_id").isNotNull() & F.col("v").isNotNull() & usable
-    )
+def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(vec_id, v): vectors of doubles; rows that take no part are left out."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    return rows.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
+
+
+def whole(vectors: list, scale: int) -> np.ndarray:
+    """floor(scale * x) of every component, cut to ``LARGEST``, as doubles."""
+    return np.clip(scaled(np.array(vectors, np.float64), scale), -LARGEST, LARGEST)
 
 
 def top_k(
@@ -158,7 +163,9 @@ def top_k(
     """(query_id, rank, vec_id, score): the ``k`` best rows for each query row, ties to smaller ids.
 
     Scores are inner products of the vectors' components as floor(scale * x); they are exact
-    while they stay below 2^53. Candidates are all rows but those with the query's id; fewer
+    while they stay below 2^53, and beyond as near as doubles are. Components beyond 1e150 count as
+    1e150, and a score that a long cannot hold is cut to the nearest one after ranking within a
+    task, so between tasks such scores tie. Candidates are all rows but those with the query's id; fewer
     than ``k`` candidates are all returned. Vectors that are NULL, or hold NULL or
     non-finite components, and rows without id take no part, and only vectors of the
     same length are compared. Candidates repeated with one id count as often as they
@@ -169,8 +176,8 @@ def top_k(
     ``SAMPLE`` rows, fixed in number, give every query a score that its k-th best will reach.
     """
     ship(vectors.sparkSession)
-    rows = whole_vectors(vectors, id_col, vector_col, scale).withColumn("size", F.size("v"))
-    queries = whole_vectors(vectors.where(is_query), id_col, vector_col, scale).distinct()
+    rows = usable_vectors(vectors, id_col, vector_col).withColumn("size", F.size("v"))
+    queries = usable_vectors(vectors.where(is_query), id_col, vector_col).distinct()
     queries = queries.withColumn("size", F.size("v"))
     blocks = max(parallel, ceil(rows.count() / data_rows))
     query_blocks = max(1, ceil(queries.count() / query_rows))
@@ -179,7 +186,7 @@ def top_k(
     for row in sample:
         by_size.setdefault(row["size"], []).append(row)
     sampled = {
-        size: (np.array([r["vec_id"] for r in own]), np.array([r["v"] for r in own], np.float64))
+        size: (np.array([r["vec_id"] for r in own]), whole([r["v"] for r in own], scale))
         for size, own in by_size.items()
     }
 
@@ -198,14 +205,14 @@ def top_k(
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         query_ids, ids = left["vec_id"].to_numpy(np.int64), right["vec_id"].to_numpy(np.int64)
-        points = np.stack(left["v"].to_list()).astype(np.float64)
+        points = whole(left["v"].to_list(), scale)
         floors = np.full(len(points), -np.inf)
         known_ids, known = sampled.get(points.shape[1], (np.zeros(0), np.zeros((0, points.shape[1]))))
         if len(known_ids) > k:
             scores = points @ known.T
             scores[query_ids[:, None] == known_ids[None, :]] = -np.inf
             floors = np.sort(scores, axis=1)[:, -k]
-        data_points = np.stack(right["v"].to_list()).astype(np.float64)
+        data_points = whole(right["v"].to_list(), scale)
         found = Search(points, query_ids, floors, data_points, ids, k).run()
         return pd.DataFrame(list(found), columns=["query_id", "vec_id", "score"])
 
