@@ -27,15 +27,15 @@ class Bitmap:
         return found
 
 
-def build(tokens: DataFrame, most_bits: int = MOST_BITS) -> Bitmap:
+def build(tokens: DataFrame, most_bits: int = MOST_BITS, per_token: int = PER_TOKEN) -> Bitmap:
     """The filter of the column ``token`` of hashed longs.
 
-    It has ``PER_TOKEN`` bits per token, or ``most_bits`` in all; the fuller it is, the more other
+    It has ``per_token`` bits per token, or ``most_bits`` in all; the fuller it is, the more other
     tokens pass. The driver gets its filled segments, at most 8 MB by default.
     """
     tokens = tokens.select("token")
     bits = SEGMENT
-    wanted = min(PER_TOKEN * tokens.count(), most_bits)
+    wanted = min(per_token * tokens.count(), most_bits)
     while bits < wanted:
         bits *= 2
     token, mask = F.col("token"), F.lit(bits - 1)

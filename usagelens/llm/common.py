@@ -72,6 +72,29 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: s
     return df.mapInArrow(run, schema)
 
 
+# Keys with more than one in SHARE of all rows are dealt over PARTS parts of a join. There are fewer than
+# SHARE of them, so they can be broadcast.
+SHARE, PARTS = 1000, 64
+
+
+def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """``left`` joined with ``right``, which has each of ``keys`` once and the number of rows of ``left``
+    with it in the column ``rows``.
+
+    A frequent key's rows are dealt over several tasks by their values, and its row of ``right`` goes to
+    all of these, so that no task gets all rows of one key. The plan is the same at every
+    size. ``right`` should be a written table, as it is read several times.
+    """
+    total = right.agg(F.sum(rows)).first()[0] or 0
+    parts, part = fresh(left, "parts"), fresh(left, "part_of_key")
+    hot = right.where(F.col(rows) > max(SHARE, total / SHARE)).select(*keys, F.lit(PARTS).alias(parts))
+    n = F.coalesce(parts, F.lit(1))
+    left = left.withColumn(part, F.pmod(F.xxhash64(*left.columns), F.lit(PARTS)).cast("int"))
+    left = left.join(F.broadcast(hot), keys, "left").withColumn(part, F.when(n > 1, F.col(part)).otherwise(0))
+    right = right.join(F.broadcast(hot), keys, "left").withColumn(part, F.explode(F.sequence(F.lit(0), n - 1)))
+    return left.drop(parts).join(right.drop(parts), [*keys, part]).drop(part)
+
+
 def byte_spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column, and where each value begins in them (one more at the end)."""
     column = column.cast(pa.large_string())
