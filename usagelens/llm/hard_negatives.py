@@ -13,7 +13,6 @@ meet the window of any anchor are not sent at all.
 """
 
 import json
-from decimal import Decimal
 from math import ceil, pi
 
 import numpy as np
@@ -31,9 +30,6 @@ REFERENCES, SAMPLE = 16, 512
 BLOCK_ROWS, ANCHOR_ROWS, RUN = 8192, 4096, 128
 # Stored angles are floats; this covers their rounding and that of the arc cosine.
 SLACK = 2e-6
-# A score between tasks; what is larger is cut to this.
-SCORE = "decimal(38,0)"
-MOST_SCORE = 10**38 - 1
 
 _MEASURED = "vec_id long, label long, size int, cell int, near float, norm double, angles array<float>, v array<double>"
 _PACKED = (
@@ -234,7 +230,8 @@ class Search:
             fits = (label_low != label) | (label_high != label)
         self.possible += len(own.ids) * len(rows.ids)
         for at in np.argsort(-np.nan_to_num(upper.max(axis=0)), kind="stable"):
-            misses = (upper[:, at, None] < self.needed()) | (lower[:, at, None] > self.high)
+            with np.errstate(invalid="ignore"):
+                misses = (upper[:, at, None] < self.needed()) | (lower[:, at, None] > self.high)
             asked = np.flatnonzero(fits[:, at] & ~misses.astype(bool).all(axis=1))
             if len(asked):
                 self._score(asked, rows, slice(rows.first[at], rows.first[at] + RUN))
@@ -259,14 +256,13 @@ class Search:
                 )
 
     def found(self) -> pa.RecordBatch:
-        """(key, place, vec_id, score) of what was found."""
+        """(key, place, vec_id, score) of what was found; scores as text, which holds any size."""
         a, j, i = np.nonzero(np.asarray(self.scores > -np.inf, bool))
-        scores = [Decimal(max(-MOST_SCORE, min(MOST_SCORE, int(s)))) for s in self.scores[a, j, i]]
         columns = [
             pa.array(self.anchors.keys[a]),
             pa.array(j.astype(np.int32)),
             pa.array(self.ids[a, j, i]),
-            pa.array(scores, pa.decimal128(38, 0)),
+            pa.array([str(int(s)) for s in self.scores[a, j, i]], pa.string()),
         ]
         return pa.RecordBatch.from_arrays(columns, ["key", "place", "vec_id", "score"])
 
@@ -287,7 +283,7 @@ def _paired(anchors: DataFrame, blocks: DataFrame, windows) -> DataFrame:
                 a, b = ([np.array(row[p + c], np.float64) for c in ("low", "high")] for p in ("a_", ""))
                 with np.errstate(over="ignore"):
                     norms = [np.float64(row[f"a_norm_{e}"]) * row[f"norm_{e}"] for e in ("low", "high")]
-                lower, upper = interval(*a, *b, *norms)
+                lower, upper = map(float, interval(*a, *b, *norms))
                 if windows is not None:
                     key = row["size"], row["a_part"]
                     if key not in spans:
@@ -346,14 +342,24 @@ def _searched(anchors: DataFrame, blocks: DataFrame, k: int, windows, parallel:
         if search is not None:
             yield search.found()
 
-    return dealt.mapInArrow(stream, f"key long, place int, vec_id long, score {SCORE}")
+    return dealt.mapInArrow(stream, "key long, place int, vec_id long, score string")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("key", "place").orderBy(F.desc("score"), "vec_id")
+    """The ``k`` first rows per key and place; of whole numbers as text, longer ones are larger."""
+    score, below = F.col("score"), F.col("score").startswith("-")
+    length = F.when(below, -F.length(score)).otherwise(F.length(score))
+    first = [length.desc(), F.when(~below, score).desc(), F.when(below, score).asc(), F.col("vec_id").asc()]
+    order = Window.partitionBy("key", "place").orderBy(*first)
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _as_long(score: Column) -> Column:
+    """The nearest number that a long can hold."""
+    end = F.when(score.startswith("-"), F.lit(LEAST)).otherwise(F.lit(MOST))
+    return F.coalesce(score.try_cast("long"), end)
+
+
 def hard_negatives(
     vectors: DataFrame,
     is_anchor: Column,
@@ -382,8 +388,7 @@ def hard_negatives(
     components, take no part. Only vectors of one length are compared. An anchor's
     candidates are all rows with another id, repeated ones as often as they occur; equal anchor rows
     count once. Scores are exact for whole numbers of any size; a returned score that a long
-    cannot hold is cut to the nearest one, and beyond 38 digits scores count as equal
-    between tasks. Empty tables give no rows; other columns are not read. Runs at once.
+    cannot hold is cut to the nearest one. Empty tables give no rows; other columns are not read. Runs at once.
     """
     if not (0 < references <= REFERENCES and positives > 0 and negatives > 0):
         raise ValueError(f"references is from 1 to {REFERENCES}; positives and negatives are at least 1")
@@ -412,7 +417,7 @@ def hard_negatives(
         return [(-(-least * s // 100), most * s // 100) for s in scores]
 
     listed = near.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("rank", "score"))).alias("p"))
-    text = F.concat(F.lit("["), F.array_join(F.transform("p", lambda p: p["score"].cast("string")), ","), F.lit("]"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("p", lambda p: p["score"]), ","), F.lit("]"))
     # Positives are known by their place, from 0, in this list.
     wanted = anchors.join(listed.select("key", text.alias("positives")), "key")
     wanted = materialize(packed(wanted, anchor_rows, False), "anchor-blocks")
@@ -423,9 +428,6 @@ def hard_negatives(
     found = found.select("key", "place", "rank", F.col("vec_id").alias("negative_id"), F.col("score").alias("n_score"))
     owners = anchors.select("key", F.col("vec_id").alias("anchor_id"))
 
-    def held(score):
-        return F.greatest(F.lit(LEAST), F.least(F.lit(MOST), score)).cast("long")
-
     return (
         found.join(named, ["key", "place"])
         .join(owners, "key")
@@ -434,7 +436,7 @@ def hard_negatives(
             "positive_id",
             "rank",
             "negative_id",
-            held(F.col("p_score")).alias("positive_score"),
-            held(F.col("n_score")).alias("negative_score"),
+            _as_long(F.col("p_score")).alias("positive_score"),
+            _as_long(F.col("n_score")).alias("negative_score"),
         )
     )
