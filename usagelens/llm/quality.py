@@ -1,7 +1,7 @@
 """Quality classifier: hashed word n-grams, logistic regression, follow the regularised leader.
 
-Words are runs of letters, of digits or of other signs. Features are single words,
-and sequences of up to three word shapes: letters by their case, digits, signs as they are,
+Words are runs of letters, of digits or of other signs. Features are sequences of up to three
+words, and of up to three word shapes: letters by their case, digits, signs as they are,
 each marked where it repeats the word before. A document's value of a feature is its share among all
 features of the document, so that long and short texts are alike, and its score is a
 sparse dot product with the learned weights.
@@ -13,20 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import (
-    byte_spans,
-    fresh,
-    identified,
-    map_batches,
-    pieces,
-    ship,
-    text_of,
-)
+from usagelens.llm.common import byte_spans, identified, map_batches, pieces, release, ship
 from usagelens.llm.hashing import byte_codes, chained, mixed, token_hashes
 from usagelens.llm.learning import held_out, learning_sample
 
-BITS = 18
+BITS = 19
 SCALE = 20.0  # of the shares, so that weights stay near 1
+CHUNK = 100  # texts whose features are held at once when learning
 
 _LETTER, _DIGIT, _SIGN = 1, 2, 3
 
@@ -62,9 +55,11 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     shape = mixed(shape + again.astype(np.uint64) * np.uint64(64))
     i = np.flatnonzero(linked)
     j = i[linked[i - 1]]
-    made = [word, shape, chained(shape[i - 1], shape[i]), chained(shape[j - 2], shape[j - 1], shape[j])]
+    made = []
+    for item in (word, shape):
+        made += [item, chained(item[i - 1], item[i]), chained(item[j - 2], item[j - 1], item[j])]
     numbers = np.concatenate(made) >> np.uint64(64 - BITS)
-    return numbers.astype(np.int64), np.concatenate([owner, owner, owner[i], owner[j]])
+    return numbers.astype(np.int64), np.concatenate([owner, owner[i], owner[j]] * 2)
 
 
 def train(
@@ -81,27 +76,29 @@ def train(
     Without texts all weights are 0, and every score 0.5.
     """
     bias = 1 << BITS
-    z, n, w = np.zeros(bias + 1), np.zeros(bias + 1), np.zeros(bias + 1)
-    rows = []
-    for at in range(0, len(texts), 200):
-        part = texts[at : at + 200]
-        numbers, owners = features(pa.array(part, pa.large_string()))
-        numbers = numbers[np.argsort(owners, kind="stable")]
-        starts = np.r_[0, np.cumsum(np.bincount(owners, minlength=len(part)))]
-        for a, b in zip(starts[:-1], starts[1:]):
-            found, counts = np.unique(numbers[a:b], return_counts=True)
-            rows.append((np.append(found, bias), np.append(counts * (SCALE / max(1, b - a)), 1.0)))
+    z, n = np.zeros(bias + 1), np.zeros(bias + 1)
     for _ in range(epochs):
-        for (at, x), label in zip(rows, labels):
-            zi, ni = z[at], n[at]
-            rate = (beta + np.sqrt(ni)) / alpha + l2
-            wi = np.where(np.abs(zi) > l1, -(zi - np.sign(zi) * l1) / rate, 0.0)
-            gradient = (1 / (1 + np.exp(-np.clip(wi @ x, -30, 30))) - label) * x
-            grown = ni + gradient * gradient
-            z[at] = zi + gradient - (np.sqrt(grown) - np.sqrt(ni)) / alpha * wi
-            n[at] = grown
-    w = np.where(np.abs(z) > l1, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2), 0.0)
-    return w
+        # Features are made anew each time, as those of all texts would need several times their room.
+        for at in range(0, len(texts), CHUNK):
+            _learn(z, n, texts[at : at + CHUNK], labels[at : at + CHUNK], alpha, beta, l1, l2)
+    return np.where(np.abs(z) > l1, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2), 0.0)
+
+
+def _learn(z, n, texts, labels, alpha, beta, l1, l2) -> None:
+    bias = len(z) - 1
+    numbers, owners = features(pa.array(texts, pa.large_string()))
+    numbers = numbers[np.argsort(owners, kind="stable")]
+    starts = np.r_[0, np.cumsum(np.bincount(owners, minlength=len(texts)))]
+    for a, b, label in zip(starts[:-1], starts[1:], labels):
+        found, counts = np.unique(numbers[a:b], return_counts=True)
+        at, x = np.append(found, bias), np.append(counts * (SCALE / max(1, b - a)), 1.0)
+        zi, ni = z[at], n[at]
+        rate = (beta + np.sqrt(ni)) / alpha + l2
+        wi = np.where(np.abs(zi) > l1, -(zi - np.sign(zi) * l1) / rate, 0.0)
+        gradient = (1 / (1 + np.exp(-np.clip(wi @ x, -30, 30))) - label) * x
+        grown = ni + gradient * gradient
+        z[at] = zi + gradient - (np.sqrt(grown) - np.sqrt(ni)) / alpha * wi
+        n[at] = grown
 
 
 def scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
@@ -127,11 +124,12 @@ def fit(
         rows = pd.concat([*frames] or [pd.DataFrame({"label": [], "text": []})])
         weights = train(rows["text"].tolist(), rows["label"].to_numpy(np.float64))
         yield pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()]})
+        release()
 
     found = sample.select("label", "text").mapInPandas(learn, "weights binary").collect()
     if not found:
-        return train([], np.zeros(0))
-    return np.frombuffer(found[0]["weights"], np.float32).astype(np.float64)
+        return train([], np.zeros(0)).astype(np.float32)
+    return np.frombuffer(found[0]["weights"], np.float32)
 
 
 def _scored(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
@@ -163,14 +161,24 @@ def score_quality(
 def keep_good(
     docs: DataFrame, weights: np.ndarray, threshold: float = 0.5, text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` with a score of at least ``threshold``, with all their columns."""
+    """The rows of ``docs`` with a score of at least ``threshold``, with all their columns.
+
+    A NULL text is judged like an empty one, by the bias alone, and stays NULL; repeated rows stay or go
+    together; an empty table gives no rows, and columns may have any names.
+    """
     ship(docs.sparkSession)
-    scored = fresh(docs, "scored_text")
+    at = docs.columns.index(text_col)
 
     def keep(batches):
         for batch in batches:
-            if batch.num_rows:
-                good = _scored(batch.column(scored), weights) >= threshold
-                yield batch.filter(pa.array(good)).drop_columns([scored])
-
-    return docs.withColumn(scored, text_of(text_col)).mapInArrow(keep, docs.schema)
+            texts = batch.column(at)
+            if not pa.types.is_string(texts.type) and not pa.types.is_large_string(texts.type):
+                texts = texts.cast(pa.string())
+            first = 0
+            for part in pieces(texts.fill_null("")):
+                good = scores(part, weights) >= threshold
+                yield batch.slice(first, len(part)).filter(pa.array(good))
+                first += len(part)
+        release()
+
+    return docs.mapInArrow(keep, docs.schema)
