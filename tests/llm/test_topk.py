@@ -91,9 +91,42 @@ def test_trees_cover_and_prune():
             assert [c.first for c in node.children] == [node.first, *[c.last for c in node.children[:-1]]]
             assert node.children[-1].last == node.last
         open_nodes += node.children
-    compared = []
     search = topk.Search(points[:50] * 1024, np.arange(50), np.full(50, -np.inf), points * 1024, np.arange(3000), 10)
-    plain = search._compare
-    search._compare = lambda q, n: (compared.append((q.last - q.first) * (n.last - n.first)), plain(q, n))
     list(search.run())
-    assert sum(compared) < 0.7 * 50 * 3000
+    assert search.compared == 50 * 3000  # without a floor nothing is excluded at first, and products are cheaper
+    floors = np.sort(points[:50] @ points.T * 1024**2, axis=1)[:, -20]
+    search = topk.Search(points[:50] * 1024, np.arange(50), floors, points * 1024, np.arange(3000), 10)
+    assert search._excluded() >= topk.WORTH
+    pruned = sorted(search.run())
+    assert search.compared < 0.3 * 50 * 3000
+    plain = topk.Search(points[:50] * 1024, np.arange(50), floors, points * 1024, np.arange(3000), 10)
+    plain._excluded = lambda: 0.0
+    # Points are no whole numbers here, so scores can differ by one when cut.
+    best = [sorted(i for q, i, _ in found if q == 7) for found in (pruned, sorted(plain.run()))]
+    assert best[0] == best[1]
+
+
+def test_blocks_that_cannot_matter_are_not_searched(spark, monkeypatch):
+    """Far clusters: queries near one of them meet few blocks, with the same result."""
+    draw = np.random.default_rng(6)
+    centres = 30 * draw.normal(size=(10, 8))
+    rows = [(i, [float(x) for x in centres[i % 10] + 0.1 * draw.normal(size=8)], 0) for i in range(800)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    written = []
+    keep = topk.materialize
+    monkeypatch.setattr(topk, "materialize", lambda df, name: written.append((name, keep(df, name))) or written[-1][1])
+    found = topk.top_k(df, F.col("vec_id") % 100 == 0, 10)
+    assert got(found) == brute_force(rows, 10, 100)
+    made = dict(written)
+    blocks = made["top-k-data"].select("block").distinct().count()
+    assert made["top-k-pairs"].count() < blocks
+
+
+def test_given_vectors_cannot_be_pruned(spark):
+    """Random directions in 64 dimensions: bounds of leaves exclude next to nothing."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("embedding").collect()
+    points = topk.whole([r.embedding for r in rows], 1024)
+    scores = points[:50] @ points.T
+    floors = np.sort(scores, axis=1)[:, -11]
+    search = topk.Search(points[:50], np.arange(50), floors, points, np.arange(len(points)), 10)
+    assert search._excluded() < 0.05

@@ -7,8 +7,10 @@ fan-out is reached. Two nodes with centres c, d and radii r, s hold no larger in
     c . d  +  |c| s  +  |d| r  +  r s,
 
 so a pair of nodes is dropped when that is below the worst k-th score among the query
-node's points. Data and queries are dealt into blocks, each pair of blocks is searched
-by a task of its own, and the best k of all blocks are kept.
+node's points. Data and queries are dealt into blocks around sampled pivots; pairs of blocks that the
+same bound excludes are never sent, each other pair is searched by a task of its own, and the
+best k of all blocks are kept. Where the leaves' bounds show that the trees exclude little, the
+scores of two blocks come from matrix products.
 """
 
 from collections.abc import Iterator
@@ -16,14 +18,19 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import ship
-from usagelens.llm.vectors import as_long, scaled, usable
+from usagelens.llm.vectors import as_long, by_length, scaled, usable
+from usagelens.storage import materialize
 
 FANOUT, LEAF = 16, 64
-SAMPLE = 256
+SAMPLE, MOST_CELLS = 256, 128
+# Trees are descended where their leaves exclude at least this share of the pairs; a product
+# computes a score several times faster than the descent does.
+WORTH, CHUNK = 0.7, 512
 # Squares of larger components would leave the range of doubles.
 LARGEST = 1e150
 
@@ -86,12 +93,27 @@ class Search:
         # A score that at least k rows of all data are known to reach.
         self.floors = floors[self.queries.order]
         self.kth = self.floors.copy()
+        self.compared = 0
 
     def run(self) -> Iterator[tuple[int, int, int]]:
-        self._descend(self.queries.root, [self.data.root])
+        if self._excluded() >= WORTH:
+            self._descend(self.queries.root, [self.data.root])
+        else:
+            for first in range(0, len(self.ids), CHUNK):
+                self._compare(slice(0, len(self.query_ids)), slice(first, first + CHUNK))
         for q, i in zip(*np.nonzero(self.scores > -np.inf)):
             yield int(self.query_ids[q]), int(self.found[q, i]), as_long(self.scores[q, i])
 
+    def _excluded(self) -> float:
+        """The share of pairs that the bounds of leaves exclude before any score is known."""
+        nodes = leaves(self.data.root)
+        sizes = np.array([n.last - n.first for n in nodes])
+        out = 0
+        for query in leaves(self.queries.root):
+            misses = self._bounds(query, nodes) < self.kth[query.first : query.last].min()
+            out += (query.last - query.first) * int(sizes[misses].sum())
+        return out / (len(self.query_ids) * len(self.ids))
+
     def _bounds(self, query: Node, nodes: list[Node]) -> np.ndarray:
         centres = np.stack([n.centre for n in nodes]) @ query.centre
         radii = np.array([n.radius for n in nodes])
@@ -117,17 +139,17 @@ class Search:
             if nodes[i].children:
                 self._descend(query, nodes[i].children)
             else:
-                self._compare(query, nodes[i])
+                self._compare(slice(query.first, query.last), slice(nodes[i].first, nodes[i].last))
 
-    def _compare(self, query: Node, node: Node) -> None:
-        rows, own = slice(query.first, query.last), slice(node.first, node.last)
+    def _compare(self, rows: slice, own: slice) -> None:
         scores = self.queries.points[rows] @ self.data.points[own].T
+        self.compared += scores.size
         ids = self.ids[own]
         scores[self.query_ids[rows, None] == ids[None, :]] = -np.inf
         better = np.flatnonzero((scores >= self.kth[rows, None]).any(axis=1))
         if not len(better):
             return
-        at = better + query.first
+        at = better + rows.start
         scores = np.concatenate([self.scores[at], scores[better]], axis=1)
         ids = np.concatenate([self.found[at], np.broadcast_to(ids, (len(at), len(ids)))], axis=1)
         order = np.argsort(ids, axis=1, kind="stable")
@@ -138,6 +160,26 @@ class Search:
         self.kth[at] = np.maximum(self.floors[at], self.scores[at, -1])
 
 
+def leaves(node: Node) -> list[Node]:
+    found, waiting = [], [node]
+    while waiting:
+        node = waiting.pop()
+        waiting += node.children
+        if not node.children:
+            found.append(node)
+    return found
+
+
+def pivots(points: np.ndarray, count: int) -> np.ndarray:
+    """Up to ``count`` of the points, picked farthest first."""
+    picked = [0]
+    far = ((points - points[0]) ** 2).sum(1)
+    while len(picked) < min(count, len(points)) and far.max() > 0:
+        picked.append(int(far.argmax()))
+        far = np.minimum(far, ((points - points[picked[-1]]) ** 2).sum(1))
+    return points[picked]
+
+
 def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, v): vectors of doubles; rows that take no part are left out."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
@@ -171,16 +213,14 @@ def top_k(
     same length are compared. Candidates repeated with one id count as often as they
     occur; repeated query rows count once. An empty table gives no rows, and other columns are not read.
 
-    Data are dealt round into blocks of about ``data_rows`` rows (at least ``parallel``
-    blocks) and queries into blocks of about ``query_rows``; a task holds one block of each.
-    ``SAMPLE`` rows, fixed in number, give every query a score that its k-th best will reach.
+    Data lie in blocks of at most about ``data_rows`` rows around at least ``parallel`` pivots, and
+    queries in blocks of about ``query_rows``; a task holds one block of each. ``SAMPLE`` rows, fixed
+    in number, give the pivots, and every query a score that its k-th best will reach. Runs at once.
     """
-    ship(vectors.sparkSession)
+    spark = ship(vectors.sparkSession)
     rows = usable_vectors(vectors, id_col, vector_col).withColumn("size", F.size("v"))
     queries = usable_vectors(vectors.where(is_query), id_col, vector_col).distinct()
     queries = queries.withColumn("size", F.size("v"))
-    blocks = max(parallel, ceil(rows.count() / data_rows))
-    query_blocks = max(1, ceil(queries.count() / query_rows))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     by_size: dict[int, list] = {}
     for row in sample:
@@ -190,39 +230,88 @@ def top_k(
         for size, own in by_size.items()
     }
 
-    def every(n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    deal = F.monotonically_increasing_id()
-    data = rows.withColumn("block", F.pmod(deal, F.lit(blocks)).cast("int")).withColumn(
-        "query_block", every(query_blocks)
+    def dealt(own: DataFrame, block_rows: int, least: int, name: str) -> tuple[DataFrame, dict]:
+        total = own.count()
+        cells = min(MOST_CELLS, max(least, ceil(total / block_rows)))
+        centres = {size: pivots(points, cells) for size, (_, points) in sampled.items()}
+        made = materialize(placed(own, centres, sampled, scale, k), name)
+        most = made.groupBy("size", "cell").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+        chunks = max(1, ceil(most / block_rows))
+        chunk = F.pmod(F.monotonically_increasing_id(), F.lit(chunks))
+        made = made.withColumn("block", F.col("cell") * chunks + chunk)
+        return materialize(made, name), centres
+
+    data, data_centres = dealt(rows, data_rows, parallel, "top-k-data")
+    asked, query_centres = dealt(queries, query_rows, 1, "top-k-queries")
+    centres = spark.sparkContext.broadcast((query_centres, data_centres))
+    around = data.groupBy("size", "block").agg(F.first("cell").alias("cell"), F.max("far").alias("radius"))
+    asking = asked.groupBy("size", "block").agg(
+        F.first("cell").alias("query_cell"), F.max("far").alias("query_radius"), F.min("floor").alias("floor")
     )
-    asked_rows = queries.withColumn(
-        "query_block", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")
-    ).withColumn("block", every(blocks))
+    met = around.join(asking.withColumnRenamed("block", "query_block"), "size")
+
+    def near(batches):
+        queries, points = centres.value
+        for batch in batches:
+            keep = []
+            for r in batch.to_pylist():
+                if r["size"] not in points:
+                    keep.append(True)
+                    continue
+                c, d = queries[r["size"]][r["query_cell"]], points[r["size"]][r["cell"]]
+                c_norm, d_norm = np.sqrt(c @ c), np.sqrt(d @ d)
+                reach = (c_norm + r["query_radius"]) * (d_norm + r["radius"])
+                bound = c @ d + c_norm * r["radius"] + d_norm * r["query_radius"] + r["radius"] * r["query_radius"]
+                keep.append(not bound + 1e-9 * reach + 0.5 < r["floor"])
+            yield batch.select(["size", "block", "query_block"]).filter(pa.array(keep, pa.bool_()))
+
+    schema = "size int, block long, query_block long"
+    pairs = materialize(met.mapInArrow(near, schema), "top-k-pairs")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         query_ids, ids = left["vec_id"].to_numpy(np.int64), right["vec_id"].to_numpy(np.int64)
-        points = whole(left["v"].to_list(), scale)
-        floors = np.full(len(points), -np.inf)
-        known_ids, known = sampled.get(points.shape[1], (np.zeros(0), np.zeros((0, points.shape[1]))))
-        if len(known_ids) > k:
-            scores = points @ known.T
-            scores[query_ids[:, None] == known_ids[None, :]] = -np.inf
-            floors = np.sort(scores, axis=1)[:, -k]
-        data_points = whole(right["v"].to_list(), scale)
-        found = Search(points, query_ids, floors, data_points, ids, k).run()
+        points, floors = whole(left["v"].to_list(), scale), left["floor"].to_numpy(np.float64)
+        found = Search(points, query_ids, floors, whole(right["v"].to_list(), scale), ids, k).run()
         return pd.DataFrame(list(found), columns=["query_id", "vec_id", "score"])
 
     keys = ["size", "block", "query_block"]
+    asked = asked.withColumnRenamed("block", "query_block").join(pairs, ["size", "query_block"])
     best = (
-        asked_rows.groupBy(*keys)
-        .cogroup(data.groupBy(*keys))
+        asked.select(*keys, "vec_id", "v", "floor")
+        .groupBy(*keys)
+        .cogroup(data.select("size", "block", "vec_id", "v").join(pairs, ["size", "block"]).groupBy(*keys))
         .applyInPandas(search, "query_id long, vec_id long, score long")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score").where(
         F.col("rank") <= k
     )
+
+
+def placed(rows: DataFrame, centres: dict, sampled: dict, scale: int, k: int) -> DataFrame:
+    """(vec_id, v, size, cell, far, floor): the nearest centre, the distance to it, and a score that the
+    k-th best of all rows will reach."""
+
+    def place(batches):
+        for batch in batches:
+            for at, matrix in by_length(batch.column(1)):
+                size, own = matrix.shape[1], batch.take(pa.array(at))
+                ids, points = own.column(0).to_numpy(), whole(matrix, scale)
+                cell, far, floor = np.zeros(len(at), np.int32), np.zeros(len(at)), np.full(len(at), -np.inf)
+                if size in centres:
+                    # By differences, as products would lose the digits that far vectors have in common.
+                    gaps = np.stack([np.sqrt(((points - c) ** 2).sum(1)) for c in centres[size]], axis=1)
+                    cell, far = gaps.argmin(axis=1).astype(np.int32), gaps.min(axis=1)
+                    known_ids, known = sampled[size]
+                    if len(known_ids) > k:
+                        scores = points @ known.T
+                        scores[ids[:, None] == known_ids[None, :]] = -np.inf
+                        # Sums of large numbers in another order can come out a little less.
+                        most = np.sqrt((points**2).sum(1)) * np.sqrt((known**2).sum(1)).max()
+                        floor = np.partition(scores, -k, axis=1)[:, -k] - 1e-12 * most
+                columns = [own.column(0), own.column(1), own.column(2), pa.array(cell), pa.array(far), pa.array(floor)]
+                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "v", "size", "cell", "far", "floor"])
+
+    return rows.mapInArrow(place, "vec_id long, v array<double>, size int, cell int, far double, floor double")
