@@ -4,7 +4,7 @@ import pytest
 from helpers import documents, lower_ascii
 from pyspark.sql import functions as F
 
-from usagelens.llm import exact_dedup
+from usagelens.llm import dropping, exact_dedup
 
 
 def want(rows, keep):
@@ -40,10 +40,11 @@ def test_odd_rows(spark, keep):
     assert got(exact_dedup.exact_duplicates(documents(spark, ROWS), keep)) == want(ROWS, keep)
 
 
-@pytest.mark.parametrize("share", [1000, 2])
-def test_colliding_hashes_are_told_apart(spark, monkeypatch, share):
+@pytest.mark.parametrize("share,few", [(1000, 200_000), (2, 200_000), (2, 0)])
+def test_colliding_hashes_are_told_apart(spark, monkeypatch, share, few):
     """With a hash of three values nearly all groups mix texts; bytes decide."""
     monkeypatch.setattr(exact_dedup, "SHARE", share)
+    monkeypatch.setattr(dropping, "FEW", few)
     rows = ROWS + [(100 + i, f"text {i % 7}") for i in range(60)]
 
     def weak(text):
@@ -63,7 +64,9 @@ def test_empty_table(spark):
     assert exact_dedup.exact_duplicates(documents(spark, [])).count() == 0
 
 
-def test_drop_keeps_rows_and_columns(spark):
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_drop_keeps_rows_and_columns(spark, monkeypatch, few):
+    monkeypatch.setattr(dropping, "FEW", few)
     docs = documents(spark, ROWS)
     kept = exact_dedup.drop_exact_duplicates(docs)
     assert kept.schema == docs.schema

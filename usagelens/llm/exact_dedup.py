@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import fresh, identified, text_of
+from usagelens.llm.dropping import among, without
 from usagelens.storage import materialize
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -92,8 +93,12 @@ def _groups(rows: DataFrame, by: list[str], keep: str) -> DataFrame:
 
 
 def _mixed(keyed: DataFrame, groups: DataFrame, total: int) -> DataFrame:
-    """Keys of groups whose rows do not all have the same text."""
-    copied = groups.where("group_size > 1").select("key", "group_size")
+    """Keys of groups whose rows do not all have the same text.
+
+    Most texts without copies stay where they are.
+    """
+    copied = materialize(groups.where("group_size > 1").select("key", "group_size"), "copied")
+    keyed = among(keyed, F.col("key"), copied.select("key"))
     hot = copied.where(F.col("group_size") > max(SHARE, total / SHARE)).select(
         "key", F.lit(PARTS).alias("parts")
     )
@@ -131,12 +136,22 @@ def drop_exact_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns.
 
-    A decision reaches its row by id and text; of rows repeated with both, one stays.
+    A decision reaches its row by id and text; of rows repeated with both, one stays. NULL counts as
+    empty and stays NULL; an empty table gives no rows, and other columns come along
+    whatever their names. Only rows that may go are moved.
     """
-    key, own = fresh(docs, "key"), fresh(docs, "own")
-    kept = exact_duplicates(docs, keep, id_col, text_col).where("kept")
-    kept = kept.select(F.col("doc_id").alias(own), F.col("text_sha256").alias(key))
-    marked = docs.withColumn(key, F.sha2(F.encode(lower_ascii(text_of(text_col)), "UTF-8"), 256))
-    same = F.col(id_col).cast("long").eqNullSafe(kept[own]) & (marked[key] == kept[key])
-    found = marked.join(kept, same, "left_semi")
-    return found.dropDuplicates([id_col, key]).drop(key)
+    found = exact_duplicates(docs, keep, id_col, text_col)
+    lost = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("again"), F.min("kept").alias("whole"))
+    lost = materialize(lost.where("not whole").drop("whole"), "lost")
+    digest = F.sha2(F.encode(lower_ascii(text_of(text_col)), "UTF-8"), 256)
+    key = {"doc_id": F.col(id_col).cast("long"), "text_sha256": digest}
+    left = without(docs, key, lost)
+    again = lost.where("again").select("doc_id", "text_sha256")
+    if again.isEmpty():
+        return left
+    # Rows repeated with one id and text, of which one is kept.
+    own, name = fresh(docs, "own"), fresh(docs, "key")
+    again = materialize(again.select(F.col("doc_id").alias(own), F.col("text_sha256").alias(name)), "again")
+    perhaps = among(docs, digest, again.select(name).distinct())
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(own)) & (digest == F.col(name))
+    return left.unionByName(perhaps.join(again, same).dropDuplicates([id_col, name]).select(*docs.columns))
