@@ -21,8 +21,8 @@ from tokenizers.models import BPE
 
 from usagelens.llm.common import identified, map_batches, ship
 
-# Words and fragments a worker remembers, each; together about 200 MB at most.
-REMEMBERED = 600_000
+# Words and fragments a worker remembers, each; together about 100 MB at most.
+REMEMBERED = 300_000
 
 # Text of these characters alone has the same words under every Unicode version, its
 # characters compose with nothing, and each has one character as lower case.

@@ -1,5 +1,7 @@
 """Helpers shared by the operators of this package."""
 
+import contextlib
+import ctypes
 import os
 import shutil
 import tempfile
@@ -59,6 +61,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system.
+
+    Python workers stay for later tasks, beside the executor's heap, and allocators keep what was freed.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` for a function from a batch to named columns; empty batches give no rows."""
 
@@ -68,6 +80,7 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: s
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(make(batch), schema=types)
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -105,7 +118,7 @@ def byte_spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[starts[0] :], starts - starts[0]
 
 
-def pieces(texts: pa.Array, size: int = 1 << 20) -> Iterator[pa.Array]:
+def pieces(texts: pa.Array, size: int = 1 << 18) -> Iterator[pa.Array]:
     """Parts of a column of about ``size`` bytes of text, or one longer text."""
     _, starts = byte_spans(texts)
     at = 0

@@ -4,7 +4,7 @@ from functools import lru_cache
 
 import numpy as np
 
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 

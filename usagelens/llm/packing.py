@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from usagelens.llm.bpe import bpe
-from usagelens.llm.common import identified, ship
+from usagelens.llm.common import identified, release, ship
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -131,6 +131,7 @@ def pack(
                     first, ids, encoded, tokens = first + used, [], [], 0
         if ids:
             yield rows(ids, encoded, first)[0]
+        release()
 
     schema = SCHEMA if with_ids else SCHEMA.removesuffix(", ids array<int>")
     return identified(docs, id_col, text_col).mapInArrow(run, schema)
