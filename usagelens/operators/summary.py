@@ -41,6 +41,12 @@ def daily_summary(df: DataFrame, start, end=None, column: str = "DP_DATE") -> Da
     return as_summary(inside.groupBy(day_of(df, column).alias("Date")).agg(*summary_totals()))
 
 
+def recent_summary(df: DataFrame, days: int, today=None, column: str = "DP_DATE") -> DataFrame:
+    """``daily_summary`` from ``days`` days before ``today`` (default the current date) up to it."""
+    last = F.current_date() if today is None else F.lit(today).cast("date")
+    return daily_summary(df, F.date_sub(last, days), last, column)
+
+
 def user_call_time(df: DataFrame) -> DataFrame:
     """Outgoing call time per subscriber."""
     return df.groupBy("User").agg(F.sum("M_Out_Call_Time").alias("M_Out_Call_Time_sum"))

@@ -500,6 +500,9 @@ ORACLES = {
     ),
     "daily_summary": summary("cdr", START, END),
     "daily_summary_lines": summary("cdr_lines", "1996-01-01", "1998-12-31"),
+    "recent_summary": summary("cdr", "2024-01-01", "2100-01-01").replace(
+        "DATE '2024-01-01'", "(SELECT max(DP_DATE) - 7 FROM cdr)"
+    ),
     "user_call_time": over(
         "processed",
         """SELECT "User", round(sum("M_Out_Call_Time"), 6) AS "M_Out_Call_Time_sum"

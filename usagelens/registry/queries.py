@@ -316,6 +316,16 @@ def daily_summary_lines(spark, sf):
     return as_double(found, "Total_Data_Volume")
 
 
+@query
+def recent_summary(spark, sf):
+    """The last week before the current date, with the records moved to end on it and the result moved back."""
+    rows = materialize(inputs.cdr(spark, sf), "cdr")
+    last = rows.agg(F.max("DP_DATE")).first()[0]
+    moved = F.date_diff(F.current_date(), F.lit(last))
+    recent = summary.recent_summary(rows.withColumn("DP_DATE", F.date_add("DP_DATE", moved)), 7)
+    return as_double(recent.withColumn("Date", F.date_sub("Date", moved)), "Total_Data_Volume")
+
+
 @query
 def user_call_time(spark, sf):
     return rounded(summary.user_call_time(inputs.processed(spark, sf)))
