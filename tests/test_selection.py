@@ -78,3 +78,60 @@ def test_describe_reads_its_input_once(spark):
     df = spark.range(0, 100, 1, 2).select(F.udf(count, "double")(F.col("id").cast("double")).alias("x"))
     assert profile.describe(df, ["x"]).first()["q50"] == 49.5
     assert seen.value == 100
+
+
+def skewed(spark, n=3000):
+    """A third of all rows in group 0."""
+    group = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7)
+    return spark.range(n).select(
+        group.cast("long").alias("g"), ((F.col("id") * 7919) % 10007).alias("k"), F.col("id").alias("v")
+    )
+
+
+def quantiles(df, columns, shares):
+    """Per column with values its quantiles by name."""
+    values = selection.values_of(df, columns)
+    sizes = {r["place"]: r["count"] for r in values.groupBy("place").count().collect()}
+    return {columns[row[0]]: dict(zip(shares, row[1:])) for row in selection.quantiles_of(values, sizes, shares)}
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 1000])
+def test_quantiles_match_numpy(spark, n):
+    df = skewed(spark, n).withColumn("w", F.when(F.col("v") % 2 == 0, F.col("k") / 7))
+    pdf = df.toPandas()
+    shares = {"low": 0.25, "mid": 0.5, "high": 0.9}
+    got = quantiles(df, ["g", "k", "w"], shares)
+    for c in ("g", "k", "w"):
+        want = np.quantile(pdf[c].dropna().astype(float), list(shares.values()))
+        assert np.allclose([got[c][s] for s in shares], want)
+
+
+def test_quantiles_leave_out_empty_columns(spark):
+    df = spark.createDataFrame([(1.0, None)], "a double, b double")
+    assert set(quantiles(df, ["a", "b"], {"m": 0.5})) == {"a"}
+
+
+def test_quantiles_between_infinite_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(inf,), (inf,), (1.0,), (2.0,)], "v double")
+    got = quantiles(df, ["v"], {"q25": 0.25, "q50": 0.5, "q75": 0.75})["v"]
+    assert list(got.values()) == [1.75, inf, inf]
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_quantiles_of_steep_rare_and_hot_columns(spark, monkeypatch, few):
+    monkeypatch.setattr(selection, "FEW", few)
+    df = skewed(spark, 20000).select(
+        "g",
+        F.pow(F.lit(1.001), F.col("k")).alias("steep"),
+        F.when(F.col("v") % 500 == 0, F.col("k") / 7).alias("rare"),
+        F.when(F.col("v") < 13000, 5.0).otherwise(F.col("v")).alias("hot"),
+        F.lit(None).cast("double").alias("empty"),
+    )
+    pdf = df.toPandas()
+    shares = {"least": 0.0, "low": 0.25, "mid": 0.5, "high": 0.75, "most": 1.0}
+    got = quantiles(df, df.columns, shares)
+    assert set(got) == {"g", "steep", "rare", "hot"}
+    for c in got:
+        want = np.quantile(pdf[c].dropna().astype(float), list(shares.values()))
+        assert np.allclose([got[c][s] for s in shares], want)

@@ -6,16 +6,12 @@ over many tasks; totals of the slices then carry from one slice to the next.
 """
 
 from collections.abc import Callable
-from math import ceil, floor, inf
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.storage import materialize
 
-# Approximate quantiles are wrong by at most one row in this many.
-ACCURACY = 10_000
-
 
 def range_slices(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` cut into slices that follow each other in ``order``.
@@ -104,145 +100,3 @@ def numbered(df: DataFrame, by: list[str]) -> DataFrame:
     )
     same = [F.col(c).eqNullSafe(F.col(f"carry_{c}")) for c in [*by, "slice"]]
     return local.join(carry, same).select(*df.columns, (F.col("local") + F.col("carry")).alias("place"))
-
-
-def quantiles(
-    df: DataFrame, columns: list[str], shares: dict[str, float], accuracy: int = ACCURACY
-) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per column that has values.
-
-    ``shares`` maps output names to shares in [0, 1]; NULLs are left out. Approximate
-    quantiles, which merge map-side, show between which two values each quantile must lie.
-    Counting the values below and between them proves it, and only values between are
-    then grouped and ranked. A column whose proof fails is ranked as a whole.
-    """
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    ranges = _sketched_ranges(values, columns, list(shares.values()), accuracy)
-    counts = _range_counts(values, ranges)
-    wanted = {c: _wanted_places(counts[c][0], shares) for c in columns}
-    for c in columns:
-        _, below, inside = counts[c]
-        for place in {p for low, high, _ in wanted[c].values() for p in (low, high)}:
-            if not any(b <= place < b + i for b, i in zip(below, inside)):
-                ranges[c] = [(None, None)]
-    counts = {
-        c: (n, [0], [n]) if ranges[c] == [(None, None)] else (n, below, inside)
-        for c, (n, below, inside) in counts.items()
-    }
-
-    def cell(c):
-        number = F.when(_between(c, ranges[c][0]), 0)
-        for i, bounds in enumerate(ranges[c][1:], 1):
-            number = number.when(_between(c, bounds), i)
-        return F.struct(number.alias("range"), F.col(c).alias("value"))
-
-    cells = (
-        values.select(F.posexplode(F.array(*[cell(c) for c in columns])).alias("column", "cell"))
-        .select("column", "cell.range", "cell.value")
-        .where(F.col("range").isNotNull() & F.col("value").isNotNull())
-        .groupBy("column", "range", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    placed = sums_before(cells, ["column", "range"], ["value"], ["n"])
-
-    # Two rows per column and share.
-    targets = []
-    for k, c in enumerate(columns):
-        _, below, inside = counts[c]
-        for name, (low, high, weight) in wanted[c].items():
-            for side, place in (("low", low), ("high", high)):
-                i = next(j for j, b in enumerate(below) if b <= place < b + inside[j])
-                targets.append((k, i, place - below[i], f"{name}_{side}", weight))
-    looked_for = df.sparkSession.createDataFrame(
-        targets, "column int, range int, offset long, name string, weight double"
-    )
-    here = (F.col("n_before") <= F.col("offset")) & (
-        F.col("offset") < F.col("n_before") + F.col("n")
-    )
-    hits = placed.join(F.broadcast(looked_for), ["column", "range"]).where(here)
-
-    def mixed(name):
-        first, second, weight = (
-            F.max(F.when(F.col("name") == f"{name}_{side}", F.col(source)))
-            for side, source in (("low", "value"), ("high", "value"), ("high", "weight"))
-        )
-        # Two infinite neighbours have no difference.
-        return F.when(first == second, first).otherwise(first + (second - first) * weight)
-
-    found = hits.groupBy("column").agg(*[mixed(name).alias(name) for name in shares])
-    names = F.array(*[F.lit(c) for c in columns])
-    return found.select(F.get(names, F.col("column")).alias("column"), *shares)
-
-
-def _wanted_places(n: int, shares: dict[str, float]) -> dict[str, tuple[int, int, float]]:
-    """Per share the 0-based places to mix among ``n`` values, and the weight of the second."""
-    places = {}
-    for name, share in shares.items() if n else ():
-        point = (n - 1) * share
-        places[name] = (floor(point), ceil(point), point - floor(point))
-    return places
-
-
-def _sketched_ranges(values, columns, shares, accuracy):
-    """Per column the disjoint value ranges that should hold the quantiles.
-
-    Ranges reach three times the error of an approximate quantile to both sides. None
-    stands for an open end.
-    """
-    margin = 3 / accuracy
-    ends = [min(max(q + side * margin, 0.0), 1.0) for q in shares for side in (-1, 1)]
-    found = values.agg(
-        *[F.percentile_approx(c, ends, accuracy).alias(c) for c in columns]
-    ).first()
-    ranges = {}
-    for c in columns:
-        if found[c] is None:
-            ranges[c] = [(None, None)]
-            continue
-        own = []
-        for i, q in enumerate(shares):
-            low = found[c][2 * i] if q - margin > 0 else None
-            high = found[c][2 * i + 1] if q + margin < 1 else None
-            own.append((low, high))
-        ranges[c] = _merged(own)
-    return ranges
-
-
-def _merged(ranges):
-    """Overlapping or touching ranges joined, in order."""
-    made = []
-    for low, high in sorted(ranges, key=lambda r: -inf if r[0] is None else r[0]):
-        if made and (made[-1][1] is None or low is None or low <= made[-1][1]):
-            last = made[-1][1]
-            made[-1] = (made[-1][0], None if last is None or high is None else max(last, high))
-        else:
-            made.append((low, high))
-    return made
-
-
-def _range_counts(values, ranges):
-    """Per column its number of values, and for each range how many lie below and inside."""
-    names, counts = [], []
-    for c, own in ranges.items():
-        names.append((c, len(own)))
-        counts.append(F.count(c))
-        for low, high in own:
-            counts.append(F.lit(0) if low is None else F.count_if(F.col(c) < low))
-            counts.append(F.count_if(_between(c, (low, high)) & F.col(c).isNotNull()))
-    row = list(values.agg(*[x.alias(f"c{i}") for i, x in enumerate(counts)]).first())
-    found, at = {}, 0
-    for c, size in names:
-        pairs = row[at + 1 : at + 1 + 2 * size]
-        found[c] = (row[at], pairs[0::2], pairs[1::2])
-        at += 1 + 2 * size
-    return found
-
-
-def _between(name, bounds):
-    low, high = bounds
-    column, inside = F.col(name), F.lit(True)
-    if low is not None:
-        inside = inside & (column >= low)
-    if high is not None:
-        inside = inside & (column <= high)
-    return inside
