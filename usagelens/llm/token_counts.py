@@ -19,6 +19,8 @@ SPACE = "▁"  # stands before every pre-token, as in the vocabulary file
 
 # Pre-tokens a worker remembers, about 100 MB at most.
 REMEMBERED = 600_000
+# Bytes of text that share one trie; the more, the more prefixes are shared.
+SHARED_TEXT = 1 << 22
 
 
 class Trie:
@@ -125,7 +127,7 @@ def count_tokens(
 
     def count(batch):
         model, tokens, words = unigram(vocab), [], []
-        for part in pieces(batch.column(1)):
+        for part in pieces(batch.column(1), SHARED_TEXT):
             more_tokens, more_words = model.count_texts(part.to_pylist())
             tokens += more_tokens
             words += more_words
