@@ -1,7 +1,9 @@
+import shutil
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import documents
 
@@ -81,3 +83,27 @@ def test_costs_are_balanced():
             arrival[-1] += take + take * take / 2048
             n, left = n - take, left - take
     assert np.std(full) < 0.7 * np.std(arrival[:-1])
+
+
+def test_texts_become_objects_piece_by_piece():
+    texts = ["a" * 300_000, "", "b" * 100_000, "c" * 100_000, "d" * 300_000, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, None, 3, 3, 5, 6], "text": texts})
+    assert list(packing.by_pieces(batch)) == list(zip([1, None, 3, 3, 5, 6], texts))
+    assert list(packing.by_pieces(batch.slice(1, 3))) == list(zip([None, 3, 3], texts[1:4]))
+    assert list(packing.by_pieces(batch.slice(2, 0))) == []
+
+
+def test_workers_forget_words_when_a_task_ends(spark, tmp_path):
+    # A path of its own, so that no other test's words are in the encoder.
+    vocab = shutil.copy(PATH, str(tmp_path / "vocab.json"))
+    docs = documents(spark, [(i, f"unheardof word{i} of ours") for i in range(64)]).repartition(8)
+    assert len(packing.pack(docs, vocab).collect()) >= 64
+
+    def left(batches):
+        model = bpe(vocab)
+        for batch in batches:
+            n = len(model.words) + len(model.fragments) + len(model.pretokens)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n] * batch.num_rows, pa.int64())})
+
+    rows = spark.range(8, numPartitions=8).mapInArrow(left, "n long").collect()
+    assert [r.n for r in rows] == [0] * 8

@@ -160,6 +160,11 @@ class Bpe:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
 
+    def forget(self) -> None:
+        """Empty the memories; what they held is worked out again when it is met."""
+        for memory in (self.fragments, self.words, self.pretokens):
+            memory.clear()
+
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by one space, as the library does for files without a decoder."""
         return " ".join(map(self.token.__getitem__, ids))

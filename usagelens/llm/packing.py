@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from usagelens.llm.bpe import bpe
-from usagelens.llm.common import identified, release, ship
+from usagelens.llm.common import identified, pieces, release, ship
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -34,11 +34,11 @@ def assign(lengths: np.ndarray, capacity: int, quadratic: float) -> list[tuple[i
 
     Pieces of one sequence come in the order of their offsets.
     """
-    pieces, full = [], 0
+    placed, full = [], 0
     rest = []  # (tokens, document, start)
     for document, n in enumerate(lengths.tolist()):
         for start in range(0, n - capacity + 1, capacity):
-            pieces.append((document, start, capacity, full))
+            placed.append((document, start, capacity, full))
             full += 1
         if n % capacity:
             rest.append((n % capacity, document, n - n % capacity))
@@ -55,11 +55,19 @@ def assign(lengths: np.ndarray, capacity: int, quadratic: float) -> list[tuple[i
             else:
                 at = int(room.argmax())
             take = min(n, int(room[at]))
-            pieces.append((document, start, take, full + at))
+            placed.append((document, start, take, full + at))
             room[at] -= take
             cost[at] += take + quadratic * take * take
             n, start = n - take, start + take
-    return pieces
+    return placed
+
+
+def by_pieces(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str]]:
+    """The rows (id, text) of a batch, of which a few texts at a time become Python objects."""
+    at = 0
+    for texts in pieces(batch.column(1)):
+        yield from zip(batch.column(0).slice(at, len(texts)).to_pylist(), texts.to_pylist())
+        at += len(texts)
 
 
 def pack(
@@ -91,8 +99,8 @@ def pack(
 
     def rows(ids: list, encoded: list[bytes], first: int) -> tuple[pa.RecordBatch, int]:
         lengths = np.array([len(e) // 4 for e in encoded], np.int64)
-        pieces = assign(lengths, capacity, quadratic)
-        document, start, length, sequence = np.array(pieces, np.int64).reshape(-1, 4).T
+        assigned = assign(lengths, capacity, quadratic)
+        document, start, length, sequence = np.array(assigned, np.int64).reshape(-1, 4).T
         order = np.argsort(sequence, kind="stable")
         document, start, length, sequence = (x[order] for x in (document, start, length, sequence))
         before = np.cumsum(length) - length
@@ -121,16 +129,19 @@ def pack(
         first = TaskContext.get().partitionId() << 40
         ids, encoded, tokens = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in by_pieces(batch):
                 ids.append(doc_id)
                 encoded.append(model.encode_bytes(text) + end)
                 tokens += len(encoded[-1]) // 4
                 if tokens >= block_tokens:
                     made, used = rows(ids, encoded, first)
                     yield made
-                    first, ids, encoded, tokens = first + used, [], [], 0
+                    first, ids, encoded, tokens, made = first + used, [], [], 0, None
+                    release()
         if ids:
             yield rows(ids, encoded, first)[0]
+        # The worker stays for tasks of other stages, beside which remembered words would take room.
+        model.forget()
         release()
 
     schema = SCHEMA if with_ids else SCHEMA.removesuffix(", ids array<int>")
