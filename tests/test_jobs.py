@@ -89,6 +89,22 @@ def test_splits_are_disjoint_and_complete(spark):
         assert not a & b and len(a | b) == 3000 and 0.75 < len(a) / 3000 < 0.85
 
 
+def test_split_sorts_nothing_and_keeps_every_row(spark):
+    rows = spark.range(4000).select(
+        (F.col("id") % 500).alias("key"), F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("Draw")
+    )
+    shuffled = rows.repartition(5, "key")
+    train, test = sampling.random_split(shuffled)
+    for part in (train, test):
+        assert "Sort" not in part._jdf.queryExecution().executedPlan().toString()
+        assert part.columns == ["key", "Draw"]
+    assert 0.75 < train.count() / 4000 < 0.85
+    assert train.unionByName(test).exceptAll(rows).isEmpty() and rows.exceptAll(train.unionByName(test)).isEmpty()
+    assert [part.count() for part in sampling.random_split(rows, 1.0)] == [4000, 0]
+    with pytest.raises(ValueError):
+        sampling.random_split(rows, 1.5)
+
+
 def test_augment(spark):
     now = datetime.datetime(2024, 5, 1, 12)
     df = spark.range(5000).select(
