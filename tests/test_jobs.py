@@ -384,3 +384,39 @@ def test_job_queries_search_the_whole_grid_on_all_days(spark, sf, monkeypatch, n
     assert 200 < n < 400
     days = inputs.processed(spark, sf).select("Date").distinct().count()
     assert made[0].select("Date").distinct().count() == days == 30
+
+
+@pytest.mark.parametrize("name", ["run_job", "train_job", "churn_predictions"])
+def test_job_queries_learn_from_the_whole_training_part(spark, tmp_path, monkeypatch, name):
+    day = F.pmod(F.col("id"), F.lit(20)).cast("int")
+    events = spark.range(6000).select(
+        F.col("id").alias("event_id"),
+        (F.col("id") / 20).cast("long").alias("user_id"),
+        F.date_add(F.lit("2024-01-01"), day).cast("timestamp").alias("ts"),
+        F.element_at(F.array(*map(F.lit, ["click", "view", "purchase"])), (F.col("id") % 3 + 1).cast("int")).alias("event_type"),
+        (F.col("id") % 17).cast("double").alias("value"),
+    )
+    # Every seventh day of a subscriber is missing, so the day before it is labelled 1.
+    events.where(F.pmod(F.xxhash64("user_id") + day, F.lit(7)) > 0).write.parquet(f"{tmp_path}/events.parquet")
+    learned, parts = [], []
+
+    def search(df, **options):
+        learned.append(df.count())
+        return train(df, **{**options, "trees": (2,), "depths": (2,), "folds": 2})
+
+    def split(*args):
+        parts.append(divide(*args))
+        return parts[-1]
+
+    train, divide = model.train, model.random_split
+    monkeypatch.setattr(model, "train", search)
+    monkeypatch.setattr(model, "random_split", split)
+    queries.QUERIES[name](spark, str(tmp_path)).collect()
+    if name == "churn_predictions":
+        key = F.col("User").cast("long") * 31 + F.dayofmonth(F.col("Date").cast("date"))
+        rows = inputs.labelled(spark, str(tmp_path)).where(F.pmod(key, F.lit(10)) < 8)
+        counted = dict(rows.groupBy(TARGET).count().collect())
+        whole = counted[0] + 20 * counted[1]
+    else:
+        whole = parts[0][0].count()
+    assert learned == [whole] and whole > 5000
